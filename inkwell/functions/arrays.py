@@ -6,15 +6,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once.
+
+    A lambda would otherwise work out the expression anew for each element.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def token_ngrams(tokens: Column, low: int, high: int) -> Column:
     """All contiguous n-grams for n from ``low`` to ``high``, tokens joined by a blank."""
-    sizes = F.filter(F.sequence(F.lit(low), F.lit(high)), lambda n: n <= F.size(tokens))
 
-    def of_size(n: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(tokens) - n + 1)
-        return F.transform(starts, lambda p: F.array_join(F.slice(tokens, p, n), " "))
+    def of_list(words: Column) -> Column:
+        sizes = F.filter(F.sequence(F.lit(low), F.lit(high)), lambda n: n <= F.size(words))
+        starts = lambda n: F.sequence(F.lit(1), F.size(words) - n + 1)
+        gram = lambda p, n: F.array_join(F.slice(words, p, n), " ")
+        return F.flatten(F.transform(sizes, lambda n: F.transform(starts(n), lambda p: gram(p, n))))
 
-    return F.flatten(F.transform(sizes, of_size))
+    return bind(tokens, of_list)
 
 
 def pad_ids(ids: Column, length: int, pad: int) -> Column:
@@ -56,7 +65,7 @@ def masked_mean_pool(vectors: Column, mask: Column) -> Column:
         kept, F.array_repeat(F.lit(0.0), width), lambda acc, v: F.zip_with(acc, v, lambda x, y: x + y)
     )
     weight = F.greatest(F.aggregate(mask, F.lit(0.0), lambda acc, m: acc + m), F.lit(1e-9))
-    return F.transform(total, lambda x: x / weight)
+    return bind(weight, lambda w: F.transform(total, lambda x: x / w))
 
 
 def dot(left: Column, right: Column) -> Column:
@@ -75,13 +84,12 @@ def argmax_class(scores: Column) -> Column:
 
 
 def log_sum_exp(logits: Column) -> Column:
-    top = F.array_max(logits)
-    return top + F.log(F.aggregate(logits, F.lit(0.0), lambda acc, x: acc + F.exp(x - top)))
+    total = lambda top: F.aggregate(logits, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
+    return bind(F.array_max(logits), lambda top: top + F.log(total(top)))
 
 
 def softmax(logits: Column) -> Column:
-    base = log_sum_exp(logits)
-    return F.transform(logits, lambda x: F.exp(x - base))
+    return bind(log_sum_exp(logits), lambda base: F.transform(logits, lambda x: F.exp(x - base)))
 
 
 def softmax_prob(logits: Column, class_index: int = 1) -> Column:

@@ -30,18 +30,18 @@ def range_index(df: DataFrame, order: Sequence[str | Column], name: str = "row_i
     """
     keys = [_column(c) for c in order]
     placed = cut(
-        df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_place", F.monotonically_increasing_id())
+        df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_row_place", F.monotonically_increasing_id())
     )
-    block = F.shiftright("_place", _POSITION_BITS)
+    block = F.shiftright("_row_place", _POSITION_BITS)
     sizes = placed.groupBy(block.alias("_block")).agg(F.count("*").alias("_size"))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_block", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    position = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    position = F.col("_row_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     return (
         placed.withColumn("_block", block)
         .join(F.broadcast(offsets), "_block")
         .withColumn(name, F.col("_offset") + position + F.lit(start))
-        .drop("_block", "_offset", "_place")
+        .drop("_block", "_offset", "_row_place")
     )
 
 
