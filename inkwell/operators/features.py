@@ -124,7 +124,8 @@ def cosine_scores(queries: DataFrame, docs: DataFrame, key: str = "id") -> DataF
 
     Query postings proved small are broadcast: a document's postings then meet them inside
     one task and products are added up before the shuffle. Otherwise both sides are
-    shuffled by term, with every term cut into slices of documents.
+    shuffled by term, with every term cut into slices of documents. Sums are rounded to nine
+    places, so equal texts tie whatever order their products were added in.
     """
     q = queries.select(F.col(key).alias("query_id"), "term", F.col("weight").alias("_q"))
     d = docs.select(key, "term", F.col("weight").alias("_d"))
@@ -134,7 +135,7 @@ def cosine_scores(queries: DataFrame, docs: DataFrame, key: str = "id") -> DataF
         sliced = d.withColumn("_slice", F.pmod(F.xxhash64(key), F.lit(SALTS)))
         copies = q.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint"))
         pairs = sliced.join(copies, ["term", "_slice"])
-    return pairs.groupBy("query_id", key).agg(F.sum(F.col("_q") * F.col("_d")).alias("sim"))
+    return pairs.groupBy("query_id", key).agg(F.round(F.sum(F.col("_q") * F.col("_d")), 9).alias("sim"))
 
 
 def topk_cosine_join(
