@@ -134,14 +134,14 @@ def vectors(spark, folder):
 
 @query("batch_score", f"SELECT vec_id AS id, round(1 / (1 + exp(0.5 * {LOGIT})), 6) AS score FROM embeddings")
 def batch_score(spark, folder):
-    scored = ln.batch_score(vectors(spark, folder), "embedding", make_linear, class_index=1)
+    scored = ln.batch_score(vectors(spark, folder), "embedding", 64, make_linear, class_index=1)
     return scored.select("id", F.round("score", 6).alias("score"))
 
 
 @query("udf_model", f"SELECT vec_id AS id, round(1 / (1 + exp(-{LOGIT})), 6) AS score FROM embeddings")
 def udf_model(spark, folder):
     """The same model with class 0 taken."""
-    scored = ln.batch_score(vectors(spark, folder), "embedding", make_linear, class_index=0)
+    scored = ln.batch_score(vectors(spark, folder), "embedding", 64, make_linear, class_index=0)
     return scored.select("id", F.round("score", 6).alias("score"))
 
 

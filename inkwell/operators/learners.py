@@ -67,7 +67,7 @@ def _rows_by_text(weights: DataFrame, labels: DataFrame, key: str) -> DataFrame:
 
 
 def ridge_fit(
-    weights: DataFrame, labels: DataFrame, alpha: float = 1.0, tol: float = 1e-6, max_iter: int = 100, key: str = "id"
+    weights: DataFrame, labels: DataFrame, alpha: float = 1.0, tol: float = 1e-5, max_iter: int = 100, key: str = "id"
 ) -> TermModel:
     """Ridge regression with a free intercept, by conjugate gradients over term tables.
 
@@ -291,14 +291,15 @@ def load_model(path: str) -> PipelineModel:
 
 
 def batch_score(
-    df: DataFrame, features: str, make_predict: Callable, class_index: int | None, batch_size: int = 64, name: str = "score"
-) -> DataFrame:
+    df: DataFrame, features: str, width: int, make_predict: Callable, class_index: int | None, batch_size: int = 64,
+    name: str = "score",
+) -> DataFrame:
     """Score rows in batches with a model function that each worker loads once.
 
-    ``make_predict()`` returns a function from a batch of feature rows to logits. With
+    ``make_predict()`` returns a function from rows of ``width`` features to logits. With
     ``class_index`` the logits are rows of class scores and that class is taken.
     """
-    predict = predict_batch_udf(make_predict, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size)
+    predict = predict_batch_udf(make_predict, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size, input_tensor_shapes=[[width]])
     logits = predict(F.col(features))
     return df.withColumn(name, sigmoid(F.element_at(logits, 1 + (class_index or 0))))
 
