@@ -10,11 +10,21 @@ from inkwell.operators import aggregates as agg
 from inkwell.operators import features as fx
 from inkwell.operators.relational import dedup_key_first
 from inkwell.plans.nearest import nearest_documents as nearest
-from inkwell.sources.tables import documents, targets
+from inkwell.session import spread
+from inkwell.sources import tables
 
 LOW, HIGH = 3, 4
 
 
+def documents(spark, folder):
+    return spread(tables.documents(spark, folder))
+
+
+def targets(spark, folder):
+    return spread(tables.targets(spark, folder))
+
+
+
 def gram_sql(name: str, table: str, key: str) -> str:
     """All word 3- and 4-grams of a table as ``(id, term)``."""
     return rf"""{name}_words AS (SELECT {key} AS id, unnest(k) AS w, generate_subscripts(k, 1) AS p

@@ -17,11 +17,11 @@ from inkwell.operators.relational import union_all
 from inkwell.operators.sampling import stratified_kfold, train_test_split
 from inkwell.plans.rank_ensemble import rank_ensemble as ranked
 from inkwell.plans.self_training import Corpora, self_training, weak_refine
-from inkwell.session import cut, scratch_path
+from inkwell.session import cut, scratch_path, spread
 from inkwell.sources.tables import documents, essays, labelled_scores, table, targets
 
 SEED = 42
-SUBWORDS = 400
+SUBWORDS = 320
 
 
 def training_rows(spark, folder):
@@ -32,7 +32,7 @@ def training_rows(spark, folder):
 
 def word_weights(spark, folder):
     """Word TF-IDF of the labelled documents and the targets, with their tables."""
-    train, goal = training_rows(spark, folder), targets(spark, folder)
+    train, goal = spread(cut(training_rows(spark, folder))), targets(spark, folder)
     train_weights, goal_weights = map(cut, fx.tfidf_words(train, lower_words(F.col("text")), goal))
     return train, goal, train_weights, goal_weights
 
@@ -207,9 +207,10 @@ def cv_fit_by_fold(spark, folder):
 
 
 def corpora(spark, folder):
-    """Labelled documents as training rows, the generated ones apart, one source as old rows."""
-    train = cut(training_rows(spark, folder))
-    generated = train.where("label = 1").select("id", "text", "label")
+    """Labelled documents as training rows, chat turns as generated rows, one source as old rows."""
+    train = spread(cut(training_rows(spark, folder)))
+    turn = F.col("conv_id") * 1_000 + F.col("turn")
+    generated = table(spark, folder, "conversations").select(turn.alias("id"), "text", F.lit(1).alias("label"))
     old = train.where("source = 'src0'").select("id", "text", "label")
     return Corpora(train.select("id", "text", "label"), generated, old, targets(spark, folder))
 
@@ -222,7 +223,7 @@ def encoder_scores(spark, folder):
 @query("self_training_loop")
 def self_training_loop(spark, folder):
     scores, _ = self_training(
-        corpora(spark, folder), encoder_scores(spark, folder), rounds=2, top=10, bottom=15, growth=4, vocab_size=SUBWORDS
+        corpora(spark, folder), encoder_scores(spark, folder), rounds=2, top=10, bottom=15, growth=4, vocab_size=SUBWORDS, tol=1e-2
     )
     return scores.select("id", F.round("score", 6).alias("score"))
 
@@ -231,7 +232,7 @@ def self_training_loop(spark, folder):
 def weak(spark, folder):
     encoder = encoder_scores(spark, folder)
     start = encoder.select("id", F.round(1 - F.col("score"), 9).alias("score"))
-    refined = weak_refine(corpora(spark, folder), start, encoder, middle=10, similar=20, vocab_size=SUBWORDS)
+    refined = weak_refine(corpora(spark, folder), start, encoder, middle=10, similar=20, vocab_size=SUBWORDS, tol=1e-2)
     return refined.select("id", F.round("score", 6).alias("score"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from inkwell.checks import query
 from inkwell.functions import arrays
 from inkwell.functions import text as tx
+from inkwell.session import spread
 from inkwell.sources.tables import documents, targets
 
 SEED = 42
@@ -175,7 +176,7 @@ def obfuscate_text(spark, folder):
 def token_ngrams(spark, folder):
     """All 3- to 5-grams, summed up per document by count and digest."""
     tokens = F.regexp_extract_all("text", F.lit(r"\S+"), F.lit(0))
-    grams = documents(spark, folder).select("id", F.explode(arrays.token_ngrams(tokens, 3, 5)).alias("term"))
+    grams = spread(documents(spark, folder)).select("id", F.explode(arrays.token_ngrams(tokens, 3, 5)).alias("term"))
     digest = F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("bigint")
     return grams.groupBy("id").agg(
         F.count("*").alias("n"), F.count_distinct("term").alias("terms"), F.sum(digest).alias("digest")

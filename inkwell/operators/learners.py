@@ -67,7 +67,7 @@ def _rows_by_text(weights: DataFrame, labels: DataFrame, key: str) -> DataFrame:
 
 
 def ridge_fit(
-    weights: DataFrame, labels: DataFrame, alpha: float = 1.0, tol: float = 1e-5, max_iter: int = 100, key: str = "id"
+    weights: DataFrame, labels: DataFrame, alpha: float = 1.0, tol: float = 1e-4, max_iter: int = 200, key: str = "id"
 ) -> TermModel:
     """Ridge regression with a free intercept, by conjugate gradients over term tables.
 
@@ -82,23 +82,19 @@ def ridge_fit(
     )
     state = cut(start.select("term", F.lit(0.0).alias("w"), "r", F.col("r").alias("p"), "m"))
     rr, mp = state.agg(F.sum(F.col("r") * F.col("r")), F.sum(F.col("m") * F.col("p"))).first()
-    if not rr:
-        rows.unpersist()
-        return TermModel(state.select("term", F.col("w").alias("coef")), float(mean_y or 0.0))
     small = is_small(state)
-    target = rr * tol * tol
+    target = (rr or 0.0) * tol * tol
     per_text = Window.partitionBy(key)
-    for _ in range(max_iter):
+    dot = lambda a, b: F.sum(F.col(a) * F.col(b))
+    for _ in range(max_iter if rr else 0):
         direction = state.select("term", "p")
-        direction = F.broadcast(direction) if small else direction
-        product = rows.join(direction, "term")
+        product = rows.join(F.broadcast(direction) if small else direction, "term")
         if not small:
             product = product.repartition(key)
         product = product.withColumn("_q", F.sum(F.col("weight") * F.col("p")).over(per_text))
         columns = product.groupBy("term").agg(F.sum(F.col("weight") * F.col("_q")).alias("_s"))
         s = F.coalesce("_s", F.lit(0.0)) - F.col("m") * (n * mp) + alpha * F.col("p")
         state = cut(state.join(columns, "term", "left").select("term", "w", "r", "p", "m", s.alias("s")))
-        dot = lambda a, b: F.sum(F.col(a) * F.col(b))
         ps, rs, ss, mr, ms = state.agg(dot("p", "s"), dot("r", "s"), dot("s", "s"), dot("m", "r"), dot("m", "s")).first()
         step = rr / ps
         rr_next = max(rr - 2 * step * rs + step * step * ss, 0.0)
@@ -111,16 +107,17 @@ def ridge_fit(
         rr = rr_next
         if rr <= target:
             break
+    state = cut(state)
     rows.unpersist()
-    mw = state.agg(F.sum(F.col("m") * F.col("w"))).first()[0]
-    return TermModel(state.select("term", F.col("w").alias("coef")), float(mean_y - mw))
+    mw = state.agg(dot("m", "w")).first()[0] or 0.0
+    return TermModel(state.select("term", F.col("w").alias("coef")), float((mean_y or 0.0) - mw))
 
 
 def ridge_score(
-    train: DataFrame, labels: DataFrame, target: DataFrame, ids: DataFrame, alpha: float = 1.0, key: str = "id"
+    train: DataFrame, labels: DataFrame, target: DataFrame, ids: DataFrame, alpha: float = 1.0, tol: float = 1e-4, key: str = "id"
 ) -> DataFrame:
     """``id, score``: the sigmoid of the ridge prediction."""
-    model = ridge_fit(train, labels, alpha, key=key)
+    model = ridge_fit(train, labels, alpha, tol, key=key)
     return model.decision(target, ids, key).select(key, sigmoid(F.col("decision")).alias("score"))
 
 
@@ -198,6 +195,7 @@ def modified_huber_fit(
         first = first or size
         if size <= first * tol * tol:
             break
+    state = cut(state)
     rows.unpersist()
     return TermModel(state.select("term", F.col("w").alias("coef")), float(b))
 

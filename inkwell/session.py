@@ -55,6 +55,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, for heavy work per row on a scan or a cut table.
+
+    Large inputs already have more partitions than cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared checkpoint folder for a written table."""
     return os.path.join(checkpoint_dir(spark), f"{name}-{os.urandom(6).hex()}")
