@@ -10,6 +10,7 @@ from inkwell.functions.text import word_count
 from inkwell.operators import aggregates as agg
 from inkwell.operators import metrics as met
 from inkwell.operators.relational import union_all
+from inkwell.session import spread
 from inkwell.sources.tables import documents, essays, graded_scores, labelled_scores, table
 
 
@@ -65,7 +66,7 @@ COUNTED = r"counted AS (SELECT doc_id AS id, len(regexp_extract_all(text, '\S+')
 
 
 def counted(spark, folder):
-    return documents(spark, folder).select("id", word_count(F.col("text")).alias("n"))
+    return spread(documents(spark, folder)).select("id", word_count(F.col("text")).alias("n"))
 
 
 @query("length_mean_plus_std", f"WITH {COUNTED} SELECT round(avg(n) + stddev_samp(n), 6) AS mean_plus_std FROM counted")
@@ -85,7 +86,7 @@ def median_exact(spark, folder):
 
 @query("token_frequency", "SELECT token, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS token FROM documents) GROUP BY token")
 def token_frequency(spark, folder):
-    tokens = documents(spark, folder).select(F.explode(F.split("text", " ")).alias("token"))
+    tokens = spread(documents(spark, folder)).select(F.explode(F.split("text", " ")).alias("token"))
     return tokens.groupBy("token").agg(F.count("*").alias("n"))
 
 

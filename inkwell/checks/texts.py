@@ -17,7 +17,7 @@ ASCII_FOLD = r"regexp_replace(strip_accents(text), '[^\x00-\x7F]', '', 'g')"
 
 
 def texts(spark, folder, column, name="text"):
-    return documents(spark, folder).select("id", column.alias(name))
+    return spread(documents(spark, folder)).select("id", column.alias(name))
 
 
 @query("normalize_nfkd", "SELECT doc_id AS id, text FROM documents")
@@ -47,7 +47,7 @@ PADDED = "padded AS (SELECT doc_id AS id, chr(10) || ' ' || chr(160) || text ||
 
 def padded(spark, folder):
     """Documents with white space of several kinds at both ends."""
-    return documents(spark, folder).select("id", F.concat(F.lit("\n \xa0"), "text", F.lit("\t \n")).alias("text"))
+    return spread(documents(spark, folder)).select("id", F.concat(F.lit("\n \xa0"), "text", F.lit("\t \n")).alias("text"))
 
 
 @query("strip_ws", f"WITH {PADDED} SELECT id, trim(text, {TRIM}) AS text FROM padded")

@@ -12,13 +12,13 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Code points of the characters Python counts as white space.
-SPACE_CODES = [
-    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
-    0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+# First and last code point of each run of characters Python counts as white space.
+SPACE_RUNS = [
+    (0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
+    (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
 ]
-SPACE_CHARS = "".join(map(chr, SPACE_CODES))
-SPACE_CLASS = "".join(rf"\x{{{code:x}}}" for code in SPACE_CODES)
+SPACE_CHARS = "".join(chr(code) for first, last in SPACE_RUNS for code in range(first, last + 1))
+SPACE_CLASS = "".join(rf"\x{{{first:x}}}-\x{{{last:x}}}" for first, last in SPACE_RUNS)
 WORD_CLASS = r"\p{L}\p{N}_"
 # What the clean-up step deletes.
 DELETED_CHARS = ";-$[]()"

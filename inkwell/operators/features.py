@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from inkwell.functions.arrays import token_ngrams
 from inkwell.operators.order import top_k_per_group
-from inkwell.session import is_small
+from inkwell.session import cut, is_small
 
 SALTS = 16
 
@@ -81,14 +81,16 @@ def tfidf_pair(
 ) -> tuple[DataFrame, DataFrame]:
     """Weights of ``train`` and ``target``; vocabulary from the target side, idf from train.
 
-    ``vocab_from`` is the table the vocabulary is taken from, ``target`` by default.
+    ``vocab_from`` is the table the vocabulary is taken from, ``target`` by default. The
+    counts that are left after the restriction are written once, so the n-grams of the
+    training texts are made in one pass.
     """
     source = target if vocab_from is None else vocab_from
-    vocab = vocab_table(grams(source, tokens, low, high, key), min_df)
+    vocab = cut(vocab_table(grams(source, tokens, low, high, key), min_df))
     n_docs = train.agg(F.count("*")).scalar()
-    train_counts = term_counts(grams(train, tokens, low, high, key), key, vocab)
-    target_counts = term_counts(grams(target, tokens, low, high, key), key, vocab)
-    idf = idf_table(train_counts, n_docs, vocab)
+    train_counts = cut(term_counts(grams(train, tokens, low, high, key), key, vocab))
+    target_counts = cut(term_counts(grams(target, tokens, low, high, key), key, vocab))
+    idf = cut(idf_table(train_counts, n_docs, vocab))
     return weigh(train_counts, idf, True, key), weigh(target_counts, idf, True, key)
 
 
@@ -96,8 +98,8 @@ def tfidf_words(
     train: DataFrame, words: Column, other: DataFrame | None = None, key: str = "id"
 ) -> tuple[DataFrame, DataFrame | None]:
     """Word TF-IDF with raw counts; vocabulary and idf both from ``train``."""
-    counts = term_counts(train.select(key, F.explode(words).alias("term")), key)
-    idf = idf_table(counts, train.agg(F.count("*")).scalar())
+    counts = cut(term_counts(train.select(key, F.explode(words).alias("term")), key))
+    idf = cut(idf_table(counts, train.agg(F.count("*")).scalar()))
     weights = weigh(counts, idf, False, key)
     if other is None:
         return weights, None
@@ -147,7 +149,7 @@ def topk_cosine_join(
     with the smallest ids it is not similar to, at similarity 0. As a query short of ``k``
     has fewer than ``k`` partners, its fill lies within the ``2k`` smallest ids.
     """
-    best = top_k_per_group(cosine_scores(queries, docs, key), ["query_id"], [F.desc("sim"), key], k, key)
+    best = cut(top_k_per_group(cosine_scores(queries, docs, key), ["query_id"], [F.desc("sim"), key], k, key))
     found = best.groupBy("query_id").agg(F.count("*").alias("_found"))
     short = query_ids.select(F.col(key).alias("query_id")).join(found, "query_id", "left").na.fill(0, ["_found"])
     short = short.where(F.col("_found") < k)
