@@ -135,7 +135,7 @@ def cosine_scores(queries: DataFrame, docs: DataFrame, key: str = "id") -> DataF
         pairs = d.join(F.broadcast(q), "term")
     else:
         sliced = d.withColumn("_slice", F.pmod(F.xxhash64(key), F.lit(SALTS)))
-        copies = q.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint"))
+        copies = q.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
         pairs = sliced.join(copies, ["term", "_slice"])
     return pairs.groupBy("query_id", key).agg(F.round(F.sum(F.col("_q") * F.col("_d")), 9).alias("sim"))
 
