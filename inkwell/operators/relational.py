@@ -6,9 +6,10 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkwell.operators.order import range_index
 from inkwell.session import broadcast_if_small
 
 
@@ -50,7 +51,7 @@ def lookup_join(df: DataFrame, codes: DataFrame, on: str) -> DataFrame:
 def encode_first_seen(df: DataFrame, category: str, order: str, name: str) -> DataFrame:
     """Number the categories by where they first appear in ``order`` and add that number."""
     first = df.where(F.col(category).isNotNull()).groupBy(category).agg(F.min(order).alias("_first"))
-    codes = first.select(category, (F.row_number().over(Window.orderBy("_first", category)) - 1).alias(name))
+    codes = range_index(first, ["_first", category], name).select(category, name)
     return lookup_join(df, codes, category)
 
 

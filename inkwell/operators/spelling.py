@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import regex_tokens, word_count
-from inkwell.session import broadcast_if_small
+from inkwell.session import broadcast_if_small, cut
 
 MIN_TOKEN = 3
 MAX_SUBSTITUTIONS = 9
@@ -91,9 +91,12 @@ def _first_word() -> Column:
 
 
 def corrections(texts: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """``id, token, word`` for every token of a text that is to be replaced."""
-    unknown = unknown_tokens(texts, dictionary)
-    near = edit_distance_join(unknown, dictionary)
+    """``id, token, word`` for every token of a text that is to be replaced.
+
+    The unknown tokens and their neighbours are written once, as all later steps use them.
+    """
+    unknown = cut(unknown_tokens(texts, dictionary))
+    near = cut(edit_distance_join(unknown, dictionary))
     first = near.groupBy("token").agg(_first_word())
     wrong = unknown.join(first, "token")
     lengths = texts.select("id", word_count(F.col("text")).alias("n_words"))
