@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import importlib
+import pkgutil
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +38,6 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    import importlib, pkgutil  # noqa: E401
-
+    """Import every module here, each of which registers its queries."""
     for module in pkgutil.iter_modules(__path__):
         importlib.import_module(f"{__name__}.{module.name}")

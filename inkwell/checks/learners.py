@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from inkwell.checks import ESSAYS, SCORED, query
 from inkwell.checks.metrics import AUC, WEIGHTS
-from inkwell.functions.text import hash_int, lower_ascii, lower_words, words
+from inkwell.functions.text import hash_int, lower_ascii, lower_words
 from inkwell.operators import batches
 from inkwell.operators import features as fx
 from inkwell.operators import learners as ln

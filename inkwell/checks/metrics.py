@@ -147,7 +147,6 @@ def accuracy(spark, folder):
 
 AUC = """SELECT {keys} CASE WHEN sum(label) * sum(1 - label) > 0 THEN round((sum(CASE WHEN label = 1 THEN r END) - sum(label) * (sum(label) + 1) / 2)
   / (sum(label) * sum(1 - label)), 6) END AS auc FROM ranked"""
-MEAN_RANK = "row_number() OVER (PARTITION BY {part} ORDER BY score)"
 
 
 @query(

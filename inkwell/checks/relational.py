@@ -10,9 +10,11 @@ from inkwell.functions.text import newline_to_space
 from inkwell.operators import relational as rel
 from inkwell.operators.aggregates import top_n_categories
 from inkwell.operators.order import range_index
-from inkwell.sources.tables import documents, essays, graded_scores, labelled_scores, table, targets
+from inkwell.sources.tables import documents, essays, graded_scores, table, targets
 
+# Class names, and the prompt names of two prompt ids.
 CLASS_NAMES = {0: "real", 1: "fake"}
+PROMPT_NAMES = {1: "Does the electoral college work?", 0: "Car-free cities"}
 EXCLUDED = ["fr", "de"]
 
 
@@ -72,9 +74,8 @@ def encode_first_seen(spark, folder):
        WHEN 0 THEN 'Car-free cities' END AS prompt_name FROM documents""",
 )
 def case_category(spark, folder):
-    names = {1: "Does the electoral college work?", 0: "Car-free cities"}
     coded = documents(spark, folder).select("id", (F.col("id") % 3).alias("prompt_id"))
-    return coded.select("id", rel.case_category("prompt_id", names).alias("prompt_name"))
+    return coded.select("id", rel.case_category("prompt_id", PROMPT_NAMES).alias("prompt_name"))
 
 
 @query(
