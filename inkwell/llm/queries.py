@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import packing, sentencepiece_bpe, sharding
+from inkwell.llm import near_dedup, packing, sentencepiece_bpe, sharding, substring_dedup
 from inkwell.llm.common import table
 
 SHARDS = 24
@@ -22,6 +22,17 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the words of 35-word windows that start anywhere else."""
+    out = substring_dedup.remove_repeats(table(spark, folder, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
+def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's group of near copies."""
+    return near_dedup.near_groups(table(spark, folder, "documents"))
+
+
 def op8_histogram_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Every document in one of 24 shards of near equal bytes."""
     docs = table(spark, folder, "documents")
@@ -33,6 +44,8 @@ def op8_histogram_sharding(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_sentencepiece": op2_sentencepiece,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op7_near_dedup": op7_near_dedup,
     "op8_histogram_sharding": op8_histogram_sharding,
 }
 
