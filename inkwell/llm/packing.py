@@ -20,7 +20,7 @@ from inkwell.llm.common import small_batches, written
 CAPACITY = 1024
 END = 2
 SALTS = 64
-MEMO = 400_000
+MEMO = 800_000
 
 
 class ByteTokens:
@@ -32,7 +32,6 @@ class ByteTokens:
 
     def __init__(self, name: str = "byte_bpe_50k"):
         import base64
-        import re
 
         import public_tokenizers as public
         import tiktoken
@@ -41,29 +40,46 @@ class ByteTokens:
         with open(public.path(f"{name}.tiktoken"), "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.words = tiktoken.Encoding("words", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.sizes = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
+        for token, i in ranks.items():
+            self.sizes[i] = len(token)
         self.whole = Tokenizer.from_file(public.path(f"{name}.json"))
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.odd = re.compile(r" \s| $")
         self.memo: dict[str, bytes] = {}
 
-    def encode(self, text: str) -> bytes:
-        if self.odd.search(text) or any(s in text for s in self.special):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if not text:
-            return b""
-        first, *rest = text.split(" ")
-        memo = self.memo
-        try:
-            return self.once(first) + b"".join([memo[w] for w in rest])
-        except KeyError:
-            if len(memo) > MEMO:
-                memo.clear()
-            for w in set(rest) - memo.keys():
-                memo[w] = self.once(" " + w)
-            return self.once(first) + b"".join([memo[w] for w in rest])
-
-    def once(self, text: str) -> bytes:
-        return np.array(self.words.encode_ordinary(text), dtype="<u4").tobytes()
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text of a batch."""
+        out: list = [None] * len(texts)
+        memo, fresh, waiting = self.memo, {}, []
+        for i, text in enumerate(texts):
+            first, *rest = text.split(" ")
+            found = list(map(memo.get, rest))
+            missing = [k for k, f in enumerate(found) if f is None] if None in found else []
+            # white space next to a blank, and special tokens, need the whole text
+            if any(not rest[k] or rest[k][0].isspace() for k in missing) or any(s in text for s in self.special):
+                out[i] = np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+                continue
+            waiting.append((i, first, rest, found, missing))
+            fresh.update((rest[k], None) for k in missing)
+        self.learn(list(fresh))
+        for i, first, rest, found, missing in waiting:
+            for k in missing:
+                found[k] = memo[rest[k]]
+            out[i] = np.array(self.words.encode_ordinary(first), dtype="<u4").tobytes() + b"".join(found)
+        if len(memo) > MEMO:
+            memo.clear()
+        return out
+
+    def learn(self, words: list[str], limit: int = 20_000) -> None:
+        """Encode new words together; their places are found again by the bytes each id stands for."""
+        for part in range(0, len(words), limit):
+            chosen = words[part : part + limit]
+            ids = np.array(self.words.encode_ordinary(" " + " ".join(chosen)), dtype="<u4")
+            ends = np.cumsum([len(w.encode("utf-8", "surrogatepass")) + 1 for w in chosen])
+            cuts = np.append(0, np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1).tolist()
+            data = ids.tobytes()
+            for word, a, b in zip(chosen, cuts, cuts[1:]):
+                self.memo[word] = data[4 * a : 4 * b]
 
 
 PIECE = "piece int, start long, length long, ids_crc32 long"
@@ -78,8 +94,9 @@ def cut_pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int = CAPA
         tokens, end = ByteTokens(), np.array([END], dtype="<u4").tobytes()
         for batch in batches:
             out = []
-            for doc, text in zip(batch.iloc[:, 0], batch.iloc[:, 1]):
-                data = tokens.encode(text if isinstance(text, str) else "") + end
+            texts = [t if isinstance(t, str) else "" for t in batch.iloc[:, 1]]
+            for doc, data in zip(batch.iloc[:, 0], tokens.encode_all(texts)):
+                data += end
                 n = len(data) // 4
                 at, piece = 0, 0
                 while at < n:

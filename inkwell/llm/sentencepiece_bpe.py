@@ -22,7 +22,7 @@ from inkwell.llm.common import small_batches
 
 BLANK = "▁"
 LONG_WORD = 128
-MEMO = 400_000
+MEMO = 700_000
 NONE = np.iinfo(np.int64).max
 
 
@@ -73,7 +73,12 @@ class PieceModel:
         known = set("".join(ids))
         # no piece crosses a blank run's end; a character that no piece holds also ends a word
         self.word = re.compile(rf"\n|{BLANK}*[^{BLANK}\n]+|{BLANK}+" if "\n" not in known else rf"{BLANK}*[^{BLANK}]+|{BLANK}+")
-        self.memo: dict[str, tuple[str, int, bytes]] = {}
+        self.codes = np.full(0x110000, self.unknown, dtype=np.int64)
+        for char, i in self.chars.items():
+            self.codes[ord(char)] = i
+        self.names = [str(i) for i in range(n)]
+        self.memo: dict[str, str] = {}
+        self.table: dict[int, tuple[int, int]] = {}
 
     def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The place of each pair in the table of merges, or -1."""
@@ -81,69 +86,79 @@ class PieceModel:
         at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
         return np.where(self.pairs[at] == keys, at, -1)
 
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
+    def encode_words(self, words: list[str]) -> list[list[int]]:
         """The ids of each word."""
-        out: list = [None] * len(words)
+        out: list = [[] for _ in words]
         short = [i for i, w in enumerate(words) if 0 < len(w) <= LONG_WORD]
         for i, word in enumerate(words):
-            if not word:
-                out[i] = np.zeros(0, dtype=np.int64)
-            elif len(word) > LONG_WORD:
-                out[i] = self.merge_long(self.symbols(word), word)
+            if len(word) > LONG_WORD:
+                out[i] = self.merge_long(word)
         for part in range(0, len(short), 20_000):
             chosen = short[part : part + 20_000]
             for i, ids in zip(chosen, self.merge_rounds([words[i] for i in chosen])):
                 out[i] = ids
         return out
 
-    def symbols(self, word: str) -> np.ndarray:
-        return np.array([self.chars.get(c, self.unknown) for c in word], dtype=np.int64)
+    def symbols(self, text: str) -> np.ndarray:
+        return self.codes[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")]
 
-    def merge_rounds(self, words: list[str]) -> list[np.ndarray]:
-        sizes = np.array([len(w) for w in words])
-        owner = np.repeat(np.arange(len(words)), sizes)
-        symbol = np.concatenate([self.symbols(w) for w in words])
-        char = np.arange(len(symbol))
+    def merge_rounds(self, words: list[str]) -> list[list[int]]:
         flat = "".join(words)
+        symbol = self.symbols(flat)
+        owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        char = np.arange(len(symbol))
+        at = np.full(len(symbol), -1)
+        inner = np.flatnonzero(owner[1:] == owner[:-1])
+        at[inner] = self.find(symbol[inner], symbol[inner + 1])
         done_owner, done_symbol, done_char = [], [], []
         while len(symbol):
-            joined = owner[1:] == owner[:-1]
-            at = np.where(joined, self.find(symbol[:-1], symbol[1:]), -1) if len(symbol) > 1 else np.zeros(0, dtype=np.int64)
-            rank = np.append(np.where(at >= 0, self.ranks[at], NONE), NONE)
             starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
             # rank and place in one number: the segmented minimum is the leftmost place of the best rank
-            place = np.arange(len(symbol))
-            least = np.minimum.reduceat(np.where(rank == NONE, NONE, rank * (1 << 32) + place), starts)
-            alive = least != NONE
-            spans = np.diff(np.append(starts, len(symbol)))
-            ended = np.repeat(~alive, spans)
+            keyed = np.where(at >= 0, self.ranks[at] * (1 << 32) + np.arange(len(symbol)), NONE)
+            least = np.minimum.reduceat(keyed, starts)
+            ended = np.repeat(least == NONE, np.diff(np.append(starts, len(symbol))))
             done_owner.append(owner[ended])
             done_symbol.append(symbol[ended])
             done_char.append(char[ended])
-            first = least[alive] & ((1 << 32) - 1)
+            first = least[least != NONE] & ((1 << 32) - 1)
             symbol[first] = self.results[at[first]]
             keep = ~ended
             keep[first + 1] = False
-            owner, symbol, char = owner[keep], symbol[keep], char[keep]
+            merged = (np.cumsum(keep) - 1)[first]
+            owner, symbol, char, at = owner[keep], symbol[keep], char[keep], at[keep]
+            # only the pairs on both sides of a merged symbol are new
+            touched = np.concatenate([merged, merged[merged > 0] - 1])
+            at[touched] = -1
+            touched = touched[touched + 1 < len(symbol)]
+            touched = touched[owner[touched] == owner[touched + 1]]
+            at[touched] = self.find(symbol[touched], symbol[touched + 1])
         owner, symbol, char = map(np.concatenate, (done_owner, done_symbol, done_char))
         order = np.argsort(owner, kind="stable")
         owner, symbol, char = owner[order], symbol[order], char[order]
-        cuts = np.searchsorted(owner, np.arange(1, len(words)))
-        return [self.with_bytes(s, [flat[c] for c in k[s == self.unknown]]) for s, k in zip(np.split(symbol, cuts), np.split(char, cuts))]
-
-    def with_bytes(self, symbols: np.ndarray, chars: list[str]) -> np.ndarray:
-        """Replace each unknown character by the ids of its bytes."""
-        if not chars:
-            return symbols
-        left = iter(chars)
-        parts = [self.byte_ids[list(next(left).encode("utf-8", "surrogatepass"))] if s == self.unknown else [s] for s in symbols]
-        return np.concatenate(parts).astype(np.int64)
-
-    def merge_long(self, symbols: np.ndarray, word: str) -> np.ndarray:
+        cuts = np.searchsorted(owner, np.arange(len(words) + 1)).tolist()
+        strange = {owner[i]: None for i in np.flatnonzero(symbol == self.unknown)}
+        ids = symbol.tolist()
+        out = [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+        for i in strange:
+            own = char[cuts[i] : cuts[i + 1]]
+            out[i] = self.with_bytes(out[i], [flat[c] for c in own])
+        return out
+
+    def with_bytes(self, symbols: list[int], chars: list[str]) -> list[int]:
+        """Replace each unknown symbol by the ids of the bytes of its character."""
+        out: list[int] = []
+        for symbol, char in zip(symbols, chars):
+            out.extend(self.byte_ids[list(char.encode("utf-8", "surrogatepass"))].tolist() if symbol == self.unknown else [symbol])
+        return out
+
+    def merge_long(self, word: str) -> list[int]:
         """The same merges for one very long word, by a heap over a linked list: n log n instead of a round per merge."""
+        symbols = self.symbols(word)
         n = len(symbols)
         symbol, before, after = symbols.tolist(), list(range(-1, n - 1)), [*range(1, n), -1]
-        table = dict(zip(self.pairs.tolist(), zip(self.ranks.tolist(), self.results.tolist())))
+        if not self.table:
+            self.table.update(zip(self.pairs.tolist(), zip(self.ranks.tolist(), self.results.tolist())))
+        table = self.table
         heap: list = []
 
         def offer(i: int) -> None:
@@ -162,39 +177,50 @@ class PieceModel:
             offer(before[i])
             offer(i)
         kept = [i for i in range(n) if symbol[i] >= 0]
-        ids = np.array([symbol[i] for i in kept], dtype=np.int64)
-        return self.with_bytes(ids, [word[i] for i in kept if symbol[i] == self.unknown])
+        return self.with_bytes([symbol[i] for i in kept], [word[i] for i in kept])
 
-    def decode(self, ids: np.ndarray) -> bytes:
+    def decode(self, ids: list[int]) -> bytes:
         """The bytes of the pieces, without the blank that encoding puts before a text."""
         return b"".join([self.bytes_of[i] for i in ids])
 
     def split(self, text: str) -> list[str]:
-        return self.word.findall(BLANK + text.replace(" ", BLANK)) if text else []
-
-    def learn(self, words: set[str]) -> None:
-        fresh = [w for w in words if w not in self.memo]
-        if len(self.memo) + len(fresh) > MEMO:
-            self.memo.clear()
-            fresh = list(words)
-        for word, ids in zip(fresh, self.encode_words(fresh)):
-            self.memo[word] = (" ".join(map(str, ids.tolist())), len(ids), self.decode(ids))
+        """The words of a text with the blank put before it; a single blank before a word is left out."""
+        if not text:
+            return []
+        if text[0] != " " and text[-1] != " " and "  " not in text and BLANK not in text:
+            return text.split(" ")
+        words = self.word.findall(BLANK + text.replace(" ", BLANK))
+        return [w[1:] if w[0] == BLANK and w[1:2] not in ("", BLANK) else BLANK + w for w in words]
+
+    def learn(self, words: list[str]) -> None:
+        """Encode new words, decode their ids, and keep both; a word that starts with a blank is kept as it is."""
+        full = [w[1:] if w[:1] == BLANK else BLANK + w for w in words]
+        names = self.names
+        encoded = self.encode_words(full)
+        if self.decode([i for ids in encoded for i in ids]) != "".join(full).replace(BLANK, " ").encode("utf-8", "surrogatepass"):
+            raise ValueError("the ids of some word do not decode to it")
+        self.memo.update((word, " ".join([names[i] for i in ids])) for word, ids in zip(words, encoded))
 
 
 def encode_texts(model: PieceModel, texts: list[str]) -> Iterator[tuple[int, str, str]]:
     """Number of ids with the end id, ids as text, and the decoded text, of each text."""
+    memo, fresh, held = model.memo, {}, []
     for text in texts:
         words = model.split(text)
-        known = model.memo
-        try:
-            found = [known[w] for w in words]
-        except KeyError:
-            model.learn(set(words))
-            known = model.memo
-            found = [known[w] for w in words]
-        ids = " ".join([f[0] for f in found] + [str(model.end)])
-        decoded = b"".join([f[2] for f in found])
-        yield sum(f[1] for f in found) + 1, ids, (decoded[1:] if decoded[:1] == b" " else decoded).decode("utf-8", "replace")
+        found = list(map(memo.get, words))
+        missing = [k for k, f in enumerate(found) if f is None] if None in found else []
+        fresh.update((words[k], None) for k in missing)
+        held.append((found, [(k, words[k]) for k in missing]))
+    model.learn(list(fresh))
+    for text, (found, missing) in zip(texts, held):
+        for k, word in missing:
+            found[k] = memo[word]
+        found.append(model.names[model.end])
+        ids = " ".join(found)
+        # every word decodes to itself with its blanks, so the text does; the blank put before it goes
+        yield ids.count(" ") + 1, ids, text.replace(BLANK, " ")
+    if len(memo) > MEMO:
+        memo.clear()
 
 
 def encode_documents(docs: DataFrame, model_name: str, id_col: str = "doc_id", text_col: str = "text", full: bool = True) -> DataFrame:
@@ -211,13 +237,6 @@ def encode_documents(docs: DataFrame, model_name: str, id_col: str = "doc_id", t
         model = PieceModel(public.path(model_name))
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
-            held: set[str] = set()
-            for text in texts:
-                held.update(model.split(text))
-                if len(held) > MEMO // 4:
-                    model.learn(held)
-                    held = set()
-            model.learn(held)
             rows = list(encode_texts(model, texts))
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"].astype("Int64"),
