@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -121,8 +120,3 @@ def word_places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     space[1:-1] = SPACE[data]
     edges = np.flatnonzero(space[1:] != space[:-1])
     return edges[0::2], edges[1::2]
-
-
-def crc_of_id(ids: pd.Series) -> np.ndarray:
-    """crc32 of each id written as decimal text."""
-    return np.array([zlib.crc32(str(int(i)).encode()) if i is not None and i == i else 0 for i in ids], dtype=np.int64)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import near_dedup, packing, sentencepiece_bpe, sharding, substring_dedup
+from inkwell.llm import near_dedup, packing, sentencepiece_bpe, sharding, substring_dedup, toxicity
 from inkwell.llm.common import table
 
 SHARDS = 24
@@ -41,12 +41,20 @@ def op8_histogram_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's toxicity, learned by weak supervision from the rows that are not held out."""
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit_toxicity(docs, table(spark, folder, "labels"))
+    return toxicity.score_toxicity(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_sentencepiece": op2_sentencepiece,
     "op4_substring_dedup": op4_substring_dedup,
     "op7_near_dedup": op7_near_dedup,
     "op8_histogram_sharding": op8_histogram_sharding,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLES: dict[str, str] = {}
