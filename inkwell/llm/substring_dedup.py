@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import OTHER, WORDS, lookup, slices, small_batches, word_hashes, word_places, written
+from inkwell.llm.common import OTHER, WORDS, slices, small_batches, word_hashes, word_places, written
 
 WINDOW = 35
 ANCHOR = 8
@@ -131,19 +131,17 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     anchors = written(anchors, "anchors")
     repeats = written(kinds.where("n > 1").select("anchor", "phrase"), "factors")
     # long factors: phrases that occur again
-    held = phrases.join(lookup(repeats, 24), ["anchor", "phrase"], "left_semi")
+    held = phrases.join(repeats, ["anchor", "phrase"], "left_semi")
     spans = held.select("doc_key", "text_hash", "start", F.col("windows").cast("int").alias("windows"))
     # factor boundaries: one phrase of each kind stands for its copies
     broken = anchors.where("kinds > 1").select("anchor")
-    open_kinds = kinds.join(lookup(broken, 16), "anchor", "left_semi")
+    open_kinds = kinds.join(broken, "anchor", "left_semi")
     asked = open_kinds.select("first.doc_key", "first.text_hash",
                               F.struct("anchor", "first.start", "first.windows", F.least("n", F.lit(2)).cast("int").alias("copies")).alias("p"))
     asked = written(asked.groupBy("doc_key", "text_hash").agg(F.collect_list("p").alias("phrases")), "asked")
-    size = asked.agg(F.count("*").alias("n"), F.sum(F.size("phrases")).alias("p")).first()
-    small = (size["n"] or 0) * 48 + (size["p"] or 0) * 40 <= 32 << 20
-    texts = docs.join(F.broadcast(asked) if small else asked, ["doc_key", "text_hash"])
-    # rows that share key and text are copies: one of them gives the windows, which the marks of the others follow
-    windows = written(window_table(texts.select("doc_key", "text_hash", "text", "phrases"), window).distinct(), "windows")
+    texts = docs.join(asked, ["doc_key", "text_hash"])
+    # rows that share key and text are copies, whose windows are all repeated: counting them twice changes nothing
+    windows = written(window_table(texts.select("doc_key", "text_hash", "text", "phrases"), window), "windows")
     again = windows.groupBy("anchor", "window").agg(F.sum("copies").alias("n")).where("n > 1").select("anchor", "window")
     again = written(again, "windows-again")
     single = windows.where("copies = 1").join(again, ["anchor", "window"], "left_semi")
@@ -175,9 +173,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = repeated_spans(texts, window)
     marks = spans.groupBy("doc_key", "text_hash").agg(F.collect_set(F.struct("start", "windows")).alias("spans"))
     marks = written(marks, "spans")
-    size = marks.agg(F.count("*").alias("n"), F.sum(F.size("spans")).alias("s")).first()
-    small = (size["n"] or 0) * 40 + (size["s"] or 0) * 16 <= 32 << 20
-    marked = keyed.join(F.broadcast(marks) if small else marks, ["doc_key", "text_hash"], "left")
+    marked = keyed.join(marks, ["doc_key", "text_hash"], "left")
 
     def cut(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, spans in parts:
