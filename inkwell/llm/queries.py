@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import near_dedup, packing, sentencepiece_bpe, sharding, substring_dedup, toxicity
+from inkwell.llm import near_dedup, packing, quality, sentencepiece_bpe, sharding, substring_dedup, toxicity
 from inkwell.llm.common import table
 
 SHARDS = 24
@@ -48,6 +48,13 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's quality by the co-trained classifiers."""
+    docs = table(spark, folder, "documents")
+    model = quality.fit_quality(docs, table(spark, folder, "labels"))
+    return quality.score_quality(docs, model).select("doc_id", "score", "predicted")
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_sentencepiece": op2_sentencepiece,
@@ -55,6 +62,7 @@ QUERIES = {
     "op7_near_dedup": op7_near_dedup,
     "op8_histogram_sharding": op8_histogram_sharding,
     "op9_toxicity": op9_toxicity,
+    "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {}
