@@ -22,7 +22,8 @@ from inkwell.llm.common import small_batches, written
 
 BINS = 2048
 HASHED = 64
-NUMBERS = 10
+NUMBERS = 13
+CUTS = 9
 RUN = re.compile(r"(.)\1+")
 MEMO = 300_000
 THRESHOLD = 0.5
@@ -64,6 +65,8 @@ def layout(text: str, words: list[str], lang: str | None, source: str | None) ->
     numbers = [
         np.log1p(n) / 10, np.log1p(len(lines)) / 5, np.log1p(n / len(lines)) / 8, upper, letters, digits, blank,
         1 - letters - digits - blank, len(set(words)) / max(len(words), 1), len(set(lines)) / len(lines),
+        sum(map(str.__eq__, words, words[1:])) / max(len(words), 1), len(zlib.compress(data, 1)) / len(data),
+        len(set(zip(words, words[1:]))) / max(len(words) - 1, 1),
     ]
     hashed = [NUMBERS + zlib.crc32(f"{k}:{v}".encode()) % HASHED for k, v in (("lang", lang), ("source", source))]
     return np.append(np.arange(NUMBERS), np.unique(hashed)), np.append(np.array(numbers), np.ones(len(set(hashed))))
@@ -71,9 +74,14 @@ def layout(text: str, words: list[str], lang: str | None, source: str | None) ->
 
 @dataclass
 class View:
-    """Logistic regression over sparse rows; numbers are centred and scaled by the training rows."""
+    """Logistic regression over sparse rows; columns are centred and scaled by the training rows.
+
+    The first ``numbers`` columns also enter as the quantile interval of the training rows they fall in.
+    """
 
     width: int
+    numbers: int = 0
+    edges: np.ndarray | None = None
     weights: np.ndarray | None = None
     mean: np.ndarray | None = None
     scale: np.ndarray | None = None
@@ -86,7 +94,16 @@ class View:
             out[i, places] = values
         return out
 
+    def widen(self, x: np.ndarray) -> np.ndarray:
+        if not self.numbers:
+            return x
+        parts = [np.eye(CUTS + 1)[np.searchsorted(self.edges[:, k], x[:, k], side="right")] for k in range(self.numbers)]
+        return np.column_stack([x, *parts])
+
     def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 200, l2: float = 1e-3) -> None:
+        if self.numbers:
+            self.edges = np.quantile(x[:, : self.numbers], np.linspace(0, 1, CUTS + 2)[1:-1], axis=0)
+        x = self.widen(x)
         self.mean, self.scale = x.mean(axis=0), x.std(axis=0)
         self.scale[self.scale < 1e-9] = np.inf
         z = np.column_stack([(x - self.mean) / np.maximum(self.scale, 0.02), np.ones(len(x))])
@@ -100,7 +117,7 @@ class View:
         self.weights = w
 
     def odds(self, x: np.ndarray) -> np.ndarray:
-        z = (x - self.mean) / np.maximum(self.scale, 0.02)
+        z = (self.widen(x) - self.mean) / np.maximum(self.scale, 0.02)
         return np.clip(z @ self.weights[:-1] + self.weights[-1], -30, 30)
 
     def calibrate(self, odds: np.ndarray, y: np.ndarray) -> None:
@@ -139,7 +156,7 @@ def co_train(content: np.ndarray, layouts: np.ndarray, y: np.ndarray, prior: flo
 
     ``prior`` is the share of label 1 among all labelled rows; the sample may have another.
     """
-    model = QualityModel(View(BINS), View(NUMBERS + HASHED))
+    model = QualityModel(View(BINS), View(NUMBERS + HASHED, NUMBERS))
     known = np.flatnonzero(~np.isnan(y))
     spare = known[::4] if len(known) >= 40 else known[:0]
     fit = np.setdiff1d(known, spare)
@@ -151,7 +168,9 @@ def co_train(content: np.ndarray, layouts: np.ndarray, y: np.ndarray, prior: flo
     if len(np.unique(y[fit])) < 2:
         constant = float(np.nanmean(y)) if len(known) else 1.0
         for view in (model.content, model.layout):
-            view.mean, view.scale, view.weights = np.zeros(view.width), np.ones(view.width), np.zeros(view.width + 1)
+            view.edges = np.zeros((CUTS, NUMBERS))
+            width = view.widen(np.zeros((1, view.width))).shape[1]
+            view.mean, view.scale, view.weights = np.zeros(width), np.ones(width), np.zeros(width + 1)
             view.weights[-1] = np.log((constant + 1e-3) / (1 - constant + 1e-3))
         return model
     good = y[fit].mean()
@@ -209,7 +228,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000, pool: in
 
     schema = "order long, label double, c_at array<long>, c array<double>, l_at array<long>, l array<double>"
     found = written(taken.mapInPandas(features, schema), "quality-features").orderBy("order").toPandas()
-    model = QualityModel(View(BINS), View(NUMBERS + HASHED))
+    model = QualityModel(View(BINS), View(NUMBERS + HASHED, NUMBERS))
     content = model.content.dense(list(zip(found["c_at"], found["c"])))
     layouts = model.layout.dense(list(zip(found["l_at"], found["l"])))
     share = rows.where("part < 2").agg(F.avg("label").alias("share")).first()["share"]
