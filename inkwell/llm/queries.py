@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import near_dedup, packing, quality, sentencepiece_bpe, sharding, substring_dedup, toxicity
+from inkwell.llm import html_extraction, near_dedup, packing, quality, sentencepiece_bpe, sharding, substring_dedup, toxicity
 from inkwell.llm.common import table
 
 SHARDS = 24
@@ -22,6 +22,11 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
 
 
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's main text by templates of its host."""
+    return html_extraction.extract_pages(table(spark, folder, "pages"))
+
+
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the words of 35-word windows that start anywhere else."""
     out = substring_dedup.remove_repeats(table(spark, folder, "documents"))
@@ -58,6 +63,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_html_extraction": op3_html_extraction,
     "op4_substring_dedup": op4_substring_dedup,
     "op7_near_dedup": op7_near_dedup,
     "op8_histogram_sharding": op8_histogram_sharding,
