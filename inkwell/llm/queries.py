@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import html_extraction, near_dedup, packing, quality, sentencepiece_bpe, sharding, substring_dedup, toxicity
+from inkwell.llm import hnsw_search, html_extraction, near_dedup, packing, quality, sentencepiece_bpe, sharding, substring_dedup, toxicity
 from inkwell.llm.common import table
 
 SHARDS = 24
@@ -33,6 +33,12 @@ def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def op6_hnsw(spark: SparkSession, folder: str) -> DataFrame:
+    """The 5 vectors nearest to every 50th, by one graph per shard."""
+    rows = table(spark, folder, "embeddings")
+    return hnsw_search.nearest(rows, rows.where(F.col("vec_id") % 50 == 0), "vec_id", "embedding")
+
+
 def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's group of near copies."""
     return near_dedup.near_groups(table(spark, folder, "documents"))
@@ -65,6 +71,7 @@ QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_html_extraction": op3_html_extraction,
     "op4_substring_dedup": op4_substring_dedup,
+    "op6_hnsw": op6_hnsw,
     "op7_near_dedup": op7_near_dedup,
     "op8_histogram_sharding": op8_histogram_sharding,
     "op9_toxicity": op9_toxicity,
