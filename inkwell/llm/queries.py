@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import hnsw_search, html_extraction, near_dedup, packing, quality, sentencepiece_bpe, sharding, substring_dedup, toxicity
+from inkwell.llm import bm25_search, hnsw_search, html_extraction, near_dedup, packing, quality, sentencepiece_bpe, sharding, substring_dedup, toxicity
 from inkwell.llm.common import table
 
 SHARDS = 24
@@ -33,6 +33,29 @@ def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def op5_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 documents best by BM25 for the whole text of every 20th document."""
+    docs = table(spark, folder, "documents")
+    out = bm25_search.search(docs, docs.where(F.col("doc_id") % 20 == 0), 10)
+    return out.withColumn("score", F.round("score", 6))
+
+
+#: Scores are rounded before they are ranked, so sums in another order give the same rows.
+OP5_SQL = r"""WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+')) AS term
+    FROM documents),
+  tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+  len AS (SELECT doc_id, count(*) AS dl FROM words GROUP BY doc_id),
+  stat AS (SELECT (SELECT count(*) FROM documents) AS n, (SELECT count(*) FROM words) / (SELECT count(*) FROM documents) AS mean),
+  idf AS (SELECT term, ln(1 + (n - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM tf, stat GROUP BY term, n),
+  scored AS (
+    SELECT q.doc_id AS query_id, d.doc_id, round(sum(q.tf * idf * d.tf * 2.2 / (d.tf + 1.2 * (0.25 + 0.75 * dl / mean))), 9) AS score
+    FROM tf q JOIN tf d ON q.term = d.term AND q.doc_id <> d.doc_id JOIN idf ON idf.term = q.term JOIN len ON len.doc_id = d.doc_id, stat
+    WHERE q.doc_id % 20 = 0 GROUP BY q.doc_id, d.doc_id),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scored)
+  SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ranked WHERE rank <= 10"""
+
+
 def op6_hnsw(spark: SparkSession, folder: str) -> DataFrame:
     """The 5 vectors nearest to every 50th, by one graph per shard."""
     rows = table(spark, folder, "embeddings")
@@ -71,6 +94,7 @@ QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_html_extraction": op3_html_extraction,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_exact_topk": op5_exact_topk,
     "op6_hnsw": op6_hnsw,
     "op7_near_dedup": op7_near_dedup,
     "op8_histogram_sharding": op8_histogram_sharding,
@@ -78,4 +102,4 @@ QUERIES = {
     "op10_quality": op10_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_exact_topk": OP5_SQL}
