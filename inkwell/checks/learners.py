@@ -72,7 +72,7 @@ def naive_bayes(spark, folder):
 
 @query("sgd_modified_huber")
 def sgd_modified_huber(spark, folder):
-    return scored_targets(spark, folder, ln.modified_huber_score, max_iter=15)
+    return scored_targets(spark, folder, ln.modified_huber_score)
 
 
 SMALL_TREES = {"maxIter": 4, "maxDepth": 4}
@@ -81,13 +81,13 @@ SMALL_TREES = {"maxIter": 4, "maxDepth": 4}
 @query("gbt_a")
 def gbt_a(spark, folder):
     """The first setting with few and shallow trees."""
-    return scored_targets(spark, folder, ln.gbt_score, settings={**ln.GBT_A, **SMALL_TREES, "minInstancesPerNode": 5}, size=64)
+    return scored_targets(spark, folder, ln.gbt_score, settings={**ln.GBT_A, **SMALL_TREES, "minInstancesPerNode": 5})
 
 
 @query("gbt_b")
 def gbt_b(spark, folder):
     """The second setting with few and shallow trees."""
-    return scored_targets(spark, folder, ln.gbt_score, settings={**ln.GBT_B, **SMALL_TREES}, size=64)
+    return scored_targets(spark, folder, ln.gbt_score, settings={**ln.GBT_B, **SMALL_TREES})
 
 
 def topic_model(spark, folder):
@@ -200,9 +200,15 @@ def chunk_iter(spark, folder):
 @query("cv_fit_by_fold")
 def cv_fit_by_fold(spark, folder):
     """Naive Bayes over word weights, each fold scored by the other folds."""
-    train, _, train_weights, _ = word_weights(spark, folder)
+    train = spread(cut(training_rows(spark, folder)))
+    counts = cut(fx.term_counts(train.select("id", F.explode(lower_words(F.col("text"))).alias("term"))))
     folds = cut(stratified_kfold(train.select("id", "label", "source"), "source", 5, SEED))
-    scored = ln.cv_fit_by_fold(folds, train_weights, ln.naive_bayes_score, [0, 1])
+
+    def weigh(near, n, held):
+        idf = cut(fx.idf_table(near, n))
+        return fx.weigh(near, idf, False), fx.weigh(held, idf, False)
+
+    scored = ln.cv_fit_by_fold(folds, counts, weigh, ln.naive_bayes_score, range(5))
     return met.roc_auc(scored, "label", "score", ("fold",)).select("fold", F.round("auc", 6).alias("auc"))
 
 
@@ -242,7 +248,7 @@ def rank_ensemble(spark, folder):
     goal = targets(spark, folder)
     encoders = [goal.select("id", F.lit(m).alias("model"), (hash_int(SEED, F.col("id"), m) / float(2**32)).alias("score")) for m in "ab"]
     blended = ranked(
-        training_rows(spark, folder), goal, union_all(*encoders), vocab_size=SUBWORDS, huber_iter=8, tree_terms=64,
+        training_rows(spark, folder), goal, union_all(*encoders), vocab_size=SUBWORDS,
         gbt_a={**ln.GBT_A, **SMALL_TREES, "minInstancesPerNode": 5}, gbt_b={**ln.GBT_B, **SMALL_TREES},
     )
     return blended.select("id", F.round("generated", 6).alias("generated"))

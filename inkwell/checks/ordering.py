@@ -203,6 +203,14 @@ def per_class_top_bottom(spark, folder):
     return pseudo.per_class_top_bottom(classes.join(score_of(spark, folder, "score_a"), "id"), "prompt_id", "score", 5, 10)
 
 
+@query("per_class_whole_table", f"WITH {GRADED}, {CLASSED} SELECT id, prompt_id, score, 1 AS label FROM classed")
+def per_class_whole_table(spark, folder):
+    """The same with a bound that the table does not reach: every row comes back with label 1."""
+    classes = documents(spark, folder).select("id", F.col("source").alias("prompt_id"))
+    rows = classes.join(score_of(spark, folder, "score_a"), "id")
+    return pseudo.per_class_top_bottom(rows, "prompt_id", "score", 5, 10, whole_up_to=1_000_000_000)
+
+
 @query(
     "pseudo_label_top_bottom",
     f"""WITH {GRADED} (SELECT id, score_a AS score, 1 AS label FROM graded ORDER BY score_a DESC, id LIMIT 100)

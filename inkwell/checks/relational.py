@@ -268,7 +268,7 @@ def dedup_key_first(spark, folder):
 
 @query("dedup_rows", "SELECT DISTINCT text, source FROM documents")
 def dedup_rows(spark, folder):
-    return documents(spark, folder).select("text", "source").distinct()
+    return rel.dedup_rows(documents(spark, folder).select("text", "source"))
 
 
 @query(

@@ -28,10 +28,11 @@ INSTRUCTION = (
     "Remember, the text might have undergone multiple stages of obfuscation.\n"
 )
 # Frequent letter groups used to disturb a text.
-BIGRAMS = (
-    "th he in en nt re er an ti es on at se nd or ar al te co de to ra et ed".split()
-)
-TRIGRAMS = "the and tha ent ing ion tio for nde has nce".split()
+BIGRAMS = [
+    "th", "he", "in", "en", "nt", "re", "er", "an", "ti", "es", "on", "at",
+    "se", "nd", "or", "ar", "al", "te", "co", "de", "to", "ra", "et", "ed",
+]
+TRIGRAMS = ["the", "and", "tha", "ent", "ing", "ion", "tio", "for", "nde", "has", "nce"]
 
 
 def _normal_form(form: str):

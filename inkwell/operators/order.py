@@ -81,8 +81,8 @@ def running_totals(
 
 
 def hash_key(seed: int, key: str | Column) -> Column:
-    """The random order of the toolkit: md5 of seed and id."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), _column(key).cast("string")))
+    """The random order of the toolkit: md5 of seed and id; a null id counts as an empty one."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(_column(key).cast("string"), F.lit(""))))
 
 
 def hash_rank(

@@ -92,6 +92,15 @@ def weighted_union(df: DataFrame, source: str, weights: Mapping[str, int]) -> Da
     return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).drop("_copy")
 
 
+def dedup_rows(df: DataFrame) -> DataFrame:
+    """The distinct rows. Strings meet under 256-bit digests, so no text is a shuffle key."""
+    keys = []
+    for name, kind in df.dtypes:
+        keys += [F.sha2(name, 256)] if kind == "string" else [F.col(name)]
+    best = df.groupBy(*[k.alias(f"_key_{i}") for i, k in enumerate(keys)]).agg(F.first(F.struct(*df.columns)).alias("_row"))
+    return best.select("_row.*")
+
+
 def dedup_key_first(df: DataFrame, key: str, order: str) -> DataFrame:
     """One row per value of ``key``, the first in ``order``.
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 500_000
+SMALL_MB = 64
 
 
 def build_session(app: str = "inkwell", master: str | None = None, **conf: str) -> SparkSession:
@@ -69,11 +69,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{name}-{os.urandom(6).hex()}")
 
 
-def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows; reads no more than one row beyond."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes in memory."""
+    total = F.lit(16)
+    for name, kind in df.dtypes:
+        column = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(column), F.lit(0)) + 16
+        elif kind.startswith(("array", "map", "struct")):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)) + 16
+        else:
+            total = total + 8
+    return total.cast("long")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if a count proves it small, else leave the join to Spark."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
+def is_small(df: DataFrame, max_mb: int = SMALL_MB) -> bool:
+    """True if the rows of ``df`` take at most ``max_mb`` in memory: one sum, partial on the map side.
+
+    The plan of ``df`` runs for it, so give a written table or a cheap scan.
+    """
+    return (df.agg(F.sum(row_bytes(df))).first()[0] or 0) <= max_mb << 20
+
+
+def broadcast_if_small(df: DataFrame, max_mb: int = SMALL_MB) -> DataFrame:
+    """Mark ``df`` for broadcast if its summed bytes prove it small, else leave the join to Spark."""
+    return F.broadcast(df) if is_small(df, max_mb) else df

@@ -104,4 +104,9 @@ def test_overlapping_top_and_bottom_keep_both_copies(spark):
 
 
 def test_small_tables_are_labelled_whole(spark):
-    assert pseudo.per_class_top_bottom(rows(spark, 10), "g", "v", 2, 2).where("label = 1").count() == 10
+    assert pseudo.per_class_top_bottom(rows(spark, 10), "g", "v", 2, 2, whole_up_to=10).where("label = 1").count() == 10
+
+
+def test_rows_without_an_id_are_ranked_too(spark):
+    table = spark.createDataFrame([(1,), (None,), (3,), (None,)], "id long")
+    assert sorted(r["row_index"] for r in order.hash_rank(table, 1).collect()) == [0, 1, 2, 3]

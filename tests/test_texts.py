@@ -151,3 +151,39 @@ def test_fallback_only_for_small_tables(spark):
     scores = ids.withColumn("generated", F.lit(0.3))
     assert {r.generated for r in sinks.constant_fallback(scores, ids, 1.0, 3).collect()} == {1.0}
     assert {r.generated for r in sinks.constant_fallback(scores, ids, 1.0, 2).collect()} == {0.3}
+
+
+def test_encoders_are_fast_on_long_pieces():
+    import random
+    import time
+
+    from inkwell.operators.subword import longest_match, merge_by_rank
+
+    rng = random.Random(1)
+    letters = "abcdefgh"
+    ranks = {(a, b): i for i, (a, b) in enumerate((a, b) for a in letters for b in letters)}
+    word = "".join(rng.choice(letters) for _ in range(100_000))
+    began = time.perf_counter()
+    assert "".join(merge_by_rank(list(word), ranks)) == word
+    assert longest_match(word, dict.fromkeys([*letters, *("##" + c for c in letters)], 0), "[UNK]")[0] == word[0]
+    assert time.perf_counter() - began < 3
+
+
+def test_merges_are_those_of_one_pass_per_merge():
+    import random
+
+    from inkwell.operators.subword import merge_by_rank, merge_once
+
+    rng = random.Random(2)
+    parts = ["a", "b", "c", "ab", "bc", "abc", "ca", "aa"]
+    for _ in range(300):
+        pairs = [(a, b) for a in parts for b in parts if rng.random() < 0.5]
+        ranks = {pair: i for i, pair in enumerate(pairs)}
+        symbols = [rng.choice("abc") for _ in range(rng.randrange(1, 14))]
+        want = list(symbols)
+        while len(want) > 1:
+            best = min(zip(want, want[1:]), key=lambda pair: ranks.get(pair, len(ranks)))
+            if best not in ranks:
+                break
+            want = merge_once(want, {best})
+        assert merge_by_rank(symbols, ranks) == want
