@@ -8,6 +8,7 @@ prefix first. Links of neighbours are confirmed on full sets and joined to compo
 pairs of a region whose ends are still in different components are looked at: first the most alike
 of each node, then all whose signatures do not exclude a link. So a region of thousands of near
 copies costs no pair of two members that are already connected, and no link is lost to a cap.
+Signatures rule a pair out only far below the threshold (``NEAR``).
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.llm.common import WORDS, mix, slices, small_batches, stream, word_hashes, written
@@ -27,6 +28,7 @@ TREES = 24
 HASHES = DEPTH * TREES
 KEY_LEVELS = 12
 NEAR = 0.55
+LAST = (1 << 63) - 1
 BLOCK = 256
 ODD = stream(21, HASHES) | np.uint64(1)
 FLIP = stream(22, HASHES)
@@ -115,8 +117,7 @@ def neighbour_pairs(nodes: DataFrame) -> DataFrame:
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``node, shingles`` of the wanted nodes, from the text of the row that stands for each."""
-    small = wanted.count() * 64 <= 32 << 20
-    rows = docs.join(F.broadcast(wanted) if small else wanted, ["doc_key", "text_hash"]).select("node", "text")
+    rows = docs.join(wanted, ["doc_key", "text_hash"]).select("node", "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -167,12 +168,34 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def crossing_pairs(nodes: DataFrame, labels: DataFrame, best: int | None) -> DataFrame:
-    """Pairs of a region whose ends are in different components and whose signatures do not exclude a link.
+def alike(left: Column, right: Column) -> Column:
+    """The share of equal hashes of two signatures."""
+
+    def share(left: pd.Series, right: pd.Series) -> pd.Series:
+        a, b = (np.frombuffer(b"".join(x), dtype=np.uint16).reshape(-1, HASHES) for x in (left, right))
+        return pd.Series((a == b).mean(axis=1))
+
+    return F.pandas_udf(share, "double")(left, right)
+
+
+def best_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """For each node the four neighbours (of at most two a tree) with the most equal hashes, if enough are equal."""
+    for end in ("a", "b"):
+        pairs = pairs.join(nodes.select(F.col("node").alias(end), F.col("signature").alias(f"{end}_marks")), end)
+    rated = pairs.select("a", "b", alike(F.col("a_marks"), F.col("b_marks")).alias("s")).where(F.col("s") >= NEAR)
+    both = rated.union(rated.select(F.col("b").alias("a"), F.col("a").alias("b"), "s"))
+    best = both.groupBy("a").agg(F.slice(F.sort_array(F.collect_list(F.struct("s", "b")), False), 1, 4).alias("top"))
+    best = best.select("a", F.explode("top.b").alias("b"))
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def crossing_pairs(nodes: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, best: int | None) -> DataFrame:
+    """Pairs of a region whose ends are in different components and that may be linked.
 
     A region is what shares the first hashes of a tree. The members outside its largest component are
-    held against all its members, both in blocks of bounded size. ``best`` keeps the most alike of
-    each such member in a block; None keeps all.
+    held against all its members, both in blocks of bounded size. ``best`` gives the most alike of
+    each such member in a block. None compares the sets of all pairs that the signatures do not
+    exclude, and gives the first that passes for each other component.
     """
     known = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     rows = known.select("node", "component", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
@@ -180,32 +203,48 @@ def crossing_pairs(nodes: DataFrame, labels: DataFrame, best: int | None) -> Dat
     sizes = rows.groupBy("region", "component").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("region").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("c"))
     mixed = written(mixed.where("c > 1").select("region", F.col("top.component").alias("main"), "n"), "mixed-regions")
-    inside = rows.join(mixed, "region").select("region", "node", "component", "signature", "main", "n")
+    inside = rows.join(mixed, "region").select("region", "tree", "node", "component", "signature", "main", "n")
     blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("int")
     inside = inside.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     inside = written(inside, "mixed-members")
-    one = F.struct("node", "component", "signature")
-    every = inside.select("region", "block", one.alias("row"), F.lit(0).alias("chunk"), F.lit(False).alias("asks"), "blocks")
-    few = inside.where("component <> main").withColumn("chunk", F.col("block"))
-    few = few.select("region", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), one.alias("row"), "chunk", F.lit(True).alias("asks"), "blocks")
-    cells = every.union(few)
+    if best is None:
+        inside = inside.join(sets, "node")
+        row = F.struct("tree", "node", "component", "signature", "shingles")
+    else:
+        row = F.struct("tree", "node", "component", "signature", F.lit(None).cast("binary").alias("shingles"))
+    every = inside.select("region", "block", row.alias("row"), F.lit(False).alias("asks"))
+    targets = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    few = inside.where("component <> main").select("region", targets, row.alias("row"), F.lit(True).alias("asks"))
 
     def run(cell: pd.DataFrame) -> pd.DataFrame:
         asks = cell["asks"].to_numpy(dtype=bool)
-        nodes = np.array([r["node"] for r in cell["row"]], dtype=object)
-        group = np.array([r["component"] for r in cell["row"]], dtype=object)
-        marks = np.array([np.frombuffer(r["signature"], dtype=np.uint16) for r in cell["row"]])
-        found = set()
+        rows = list(cell["row"])
+        group = np.array([r["component"] for r in rows], dtype=object)
+        marks = np.array([np.frombuffer(r["signature"], dtype=np.uint16) for r in rows])
+        heads = marks.reshape(len(rows), TREES, DEPTH)
+        found = {}
         others = np.flatnonzero(~asks)
         for i in np.flatnonzero(asks) if len(others) else []:
-            alike = (marks[others] == marks[i]).mean(axis=1)
-            hits = others[(alike >= NEAR) & (group[others] != group[i])]
-            if best is not None and len(hits) > best:
-                hits = hits[np.argsort(-(marks[hits] == marks[i]).mean(axis=1), kind="stable")[:best]]
-            found.update((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for j in hits)
-        return pd.DataFrame(sorted(found), columns=["a", "b"])
-
-    return cells.groupBy("region", "block").applyInPandas(run, "a binary, b binary").distinct()
+            share = (marks[others] == marks[i]).mean(axis=1)
+            fit = (share >= NEAR) & (group[others] != group[i])
+            hits, share = others[fit], share[fit]
+            # a pair is looked at in the first tree that holds it
+            first = (heads[hits] == heads[i]).all(axis=2).argmax(axis=1) == rows[i]["tree"]
+            hits = hits[first][np.argsort(-share[first], kind="stable")]
+            if best is not None:
+                hits = hits[:best]
+            elif len(hits):
+                own, parts = np.frombuffer(rows[i]["shingles"], dtype=np.uint64), [np.frombuffer(rows[j]["shingles"], dtype=np.uint64) for j in hits]
+                sizes = np.array([len(x) for x in parts])
+                flat = np.concatenate(parts)
+                same = np.add.reduceat(own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat, np.append(0, np.cumsum(sizes)[:-1]), dtype=np.int64)
+                hits = hits[100 * same >= percent * (sizes + len(own) - same)]
+            for j in hits:
+                key = (i, group[j]) if best is None else (i, j)
+                found.setdefault(key, (min(rows[i]["node"], rows[j]["node"]), max(rows[i]["node"], rows[j]["node"])))
+        return pd.DataFrame(sorted(set(found.values())), columns=["a", "b"])
+
+    return every.union(few).groupBy("region", "block").applyInPandas(run, "a binary, b binary").distinct()
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
@@ -215,36 +254,50 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shingle; a null text or one without words has an empty set and is linked with nothing. Texts are
     linked if 100 * intersection >= ``percent`` * union. ``component_id`` is the smallest id
     reachable; ``kept`` marks the rows that carry it. Equal sets are linked at once. A row with a
-    null id can connect others and gets their component, is never kept unless it has no other id in
-    its component, where component_id is null and it is kept. Repeated rows of one id are all kept
-    or not alike; an empty table gives no rows; other columns are left out.
+    null id can connect others and gets their component; it is kept only where no row of its
+    component has an id. Repeated rows of one id are marked alike; an empty table gives no rows;
+    other columns are left out.
     """
+    out = grouped_rows(docs, id_col, text_col, percent)
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
+    """``docs`` with one row of each group of near copies: that of the smallest id. Rows without words are kept; repeated rows are one."""
+    out = grouped_rows(docs, id_col, text_col, percent)
+    stay = out.where(F.col("node").isNull() | F.col("first")).select("doc_key", "text_hash").distinct()
+    keyed = docs.withColumn("doc_key", F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))).withColumn("text_hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    kept = keyed.join(written(stay, "kept"), ["doc_key", "text_hash"], "left_semi")
+    return kept.dropDuplicates(["doc_key", "text_hash"]).select(*docs.columns)
+
+
+def grouped_rows(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """Every row with ``doc_id, doc_key, text_hash, n_shingles, node, component_id`` and whether it is its group's first."""
     spark = docs.sparkSession
     small_batches(spark)
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    keyed = keyed.withColumn("doc_key", F.coalesce("doc_id", F.lit(-1))).withColumn("text_hash", F.xxhash64("text"))
+    keyed = keyed.withColumn("doc_key", F.coalesce("doc_id", F.lit(LAST))).withColumn("text_hash", F.xxhash64("text"))
     rows = written(document_nodes(keyed), "document-nodes")
     nodes = rows.where("node is not null").groupBy("node").agg(
         F.min(F.struct("doc_key", "text_hash", "signature")).alias("first"), F.min("doc_id").alias("least_id"))
     nodes = written(nodes.select("node", "first.*", "least_id"), "nodes")
-    pairs = written(neighbour_pairs(nodes), "neighbours")
-    links, sets, labels = None, None, spark.createDataFrame([], "node binary, component binary")
-    for best in (0, 4, None):
-        if best != 0:
-            pairs = written(crossing_pairs(nodes, labels, best), "crossing")
-        if pairs.isEmpty():
-            continue
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = written(nodes.select("node", "doc_key", "text_hash").join(ends, "node", "left_semi"), "wanted")
-        sets = written(full_sets(keyed, wanted), "sets")
-        found = written(confirm(pairs, sets, percent), "links")
-        links = found if links is None else links.union(found)
+    neighbours = written(neighbour_pairs(nodes), "neighbours")
+    ends = neighbours.select(F.col("a").alias("node")).union(neighbours.select("b")).distinct()
+    # whoever shares a region with another node has a neighbour there, so these are all nodes that can be linked
+    linkable = written(nodes.join(ends, "node", "left_semi"), "linkable")
+    sets = written(full_sets(keyed, linkable.select("node", "doc_key", "text_hash")), "sets")
+    links, labels = None, spark.createDataFrame([], "node binary, component binary")
+    for best in (0, 1, None):
+        pairs = best_pairs(neighbours, linkable) if best == 0 else crossing_pairs(linkable, labels, sets, percent, best)
+        found = written(confirm(written(pairs, "pairs"), sets, percent), "links")
         if not found.isEmpty():
+            links = found if links is None else links.union(found)
             labels = components(links)
-    named = nodes.join(labels, "node", "left").select("node", "least_id", F.coalesce("component", "node").alias("component"))
-    smallest = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    owner = written(named.join(smallest, "component").select("node", "component_id"), "owners")
+    named = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    smallest = named.groupBy("component").agg(F.min("least_id").alias("component_id"), F.min(F.struct("doc_key", "text_hash")).alias("top"))
+    owner = written(named.select("node", "component").join(smallest, "component").select("node", "component_id", "top"), "owners")
     out = rows.join(owner, "node", "left")
     found = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", found.alias("component_id"), F.col("doc_id").eqNullSafe(found).alias("kept"))
+    first = (F.col("doc_key") == F.col("top.doc_key")) & (F.col("text_hash") == F.col("top.text_hash"))
+    return out.select("doc_id", "doc_key", "text_hash", "n_shingles", "node", found.alias("component_id"), F.coalesce(first, F.lit(False)).alias("first"))
