@@ -3,7 +3,7 @@
 The content view sees how words are formed (hashed word shapes and their shares). The metadata view
 sees source, language, size and layout numbers, and no word. Each starts from labelled rows; in every
 round each view labels the unlabelled rows it is surest of for the other. At the end both are
-calibrated on labelled rows that neither was fitted on, and their calibrated log-odds are combined.
+calibrated on labelled rows that neither was fitted on, and their calibrated log-odds are added up.
 """
 
 from __future__ import annotations
@@ -121,13 +121,23 @@ class View:
         return np.clip(z @ self.weights[:-1] + self.weights[-1], -30, 30)
 
     def calibrate(self, odds: np.ndarray, y: np.ndarray) -> None:
-        """Slope and shift that make the odds fit the labels (Platt), by Newton steps with a small ridge."""
-        a = np.array([1.0, 0.0])
+        """Slope and shift that make the odds fit the labels (Platt), held near 1 and 0: damped Newton steps."""
+        a, start = np.array([1.0, 0.0]), np.array([1.0, 0.0])
         x = np.column_stack([odds, np.ones(len(odds))])
-        for _ in range(30):
+
+        def loss(a: np.ndarray) -> float:
+            z = x @ a
+            return float((np.logaddexp(0, z) - y * z).sum() + ((a - start) ** 2).sum() / 2)
+
+        for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(x @ a, -30, 30)))
-            h = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(2)
-            a -= np.linalg.solve(h, x.T @ (p - y) + 1e-2 * (a - [1.0, 0.0]))
+            h = (x * (p * (1 - p))[:, None]).T @ x + np.eye(2)
+            step, size = np.linalg.solve(h, x.T @ (p - y) + (a - start)), 1.0
+            while size > 1e-6 and loss(a - size * step) > loss(a):
+                size /= 2
+            a = a - size * step
+            if np.abs(size * step).max() < 1e-6:
+                break
         self.slope, self.shift = max(float(a[0]), 1e-3), float(a[1])
 
 
@@ -135,11 +145,12 @@ class View:
 class QualityModel:
     content: View
     layout: View
+    prior: float = 0.0
 
     def score(self, content: np.ndarray, layout: np.ndarray) -> np.ndarray:
-        """The mean of both calibrated log-odds, as a probability."""
+        """Both calibrated log-odds added up as views that err apart, the log-odds of the labels counted once."""
         total = sum(v.slope * v.odds(x) + v.shift for v, x in ((self.content, content), (self.layout, layout)))
-        return 1 / (1 + np.exp(-np.clip(total / 2, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(total - self.prior, -30, 30)))
 
 
 def view_rows(texts: list[str], langs: list, sources: list, shapes: Shapes) -> tuple[list, list]:
@@ -172,6 +183,7 @@ def co_train(content: np.ndarray, layouts: np.ndarray, y: np.ndarray, prior: flo
             width = view.widen(np.zeros((1, view.width))).shape[1]
             view.mean, view.scale, view.weights = np.zeros(width), np.ones(width), np.zeros(width + 1)
             view.weights[-1] = np.log((constant + 1e-3) / (1 - constant + 1e-3))
+        model.prior = float(model.layout.weights[-1])
         return model
     good = y[fit].mean()
     for round_ in range(rounds + 1):
@@ -180,18 +192,22 @@ def co_train(content: np.ndarray, layouts: np.ndarray, y: np.ndarray, prior: flo
             getattr(model, name).fit(x[rows], given[name][rows])
         if round_ == rounds or not len(pool):
             break
-        for name, other, x in (("content", "layout", content), ("layout", "content", layouts)):
-            odds = getattr(model, name).odds(x[pool])
+        views = {"content": model.content.odds(content[pool]), "layout": model.layout.odds(layouts[pool])}
+        for name, other in (("content", "layout"), ("layout", "content")):
+            odds, contrary = views[name], views[other]
             order = np.argsort(odds, kind="stable")
             free = np.isnan(given[other][pool])
             for label, ranked, n in ((1.0, order[::-1], per_round * good), (0.0, order, per_round * (1 - good))):
-                sure = [i for i in ranked if free[i] and (odds[i] > 1 if label else odds[i] < -1)][: int(np.ceil(n))]
+                sign = 1 if label else -1
+                # what the receiving view is itself sure to be the opposite is not taken over
+                sure = [i for i in ranked if free[i] and sign * odds[i] > 1 and sign * contrary[i] > -1][: int(np.ceil(n))]
                 given[other][pool[sure]] = label
     check = spare if len(spare) and len(np.unique(y[spare])) > 1 else fit
     for view, x in ((model.content, content), (model.layout, layouts)):
         view.calibrate(view.odds(x[check]), y[check])
         own = float(np.clip(y[check].mean(), 1e-3, 1 - 1e-3))
         view.shift += np.log(prior / (1 - prior)) - np.log(own / (1 - own))
+    model.prior = float(np.log(prior / (1 - prior)))
     return model
 
 
