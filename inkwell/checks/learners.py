@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from inkwell.checks import ESSAYS, SCORED, query
 from inkwell.checks.metrics import AUC, WEIGHTS
+from inkwell.functions.numeric import sigmoid
 from inkwell.functions.text import hash_int, lower_ascii, lower_words
 from inkwell.operators import batches
 from inkwell.operators import features as fx
@@ -132,6 +133,16 @@ def vectors(spark, folder):
     return table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
 
 
+@query("term_model_save_load", f"WITH {NB} SELECT id, round(1 / (1 + exp(-d)), 6) AS score FROM decided")
+def term_model_save_load(spark, folder):
+    """Naive Bayes coefficients written, read back and applied."""
+    train, goal, train_weights, goal_weights = word_weights(spark, folder)
+    path = scratch_path(spark, "term-model")
+    ln.naive_bayes_fit(train_weights, train.select("id", "label")).save(path)
+    decision = ln.TermModel.load(spark, path).decision(goal_weights, goal.select("id"))
+    return decision.select("id", F.round(sigmoid(F.col("decision")), 6).alias("score"))
+
+
 @query("batch_score", f"SELECT vec_id AS id, round(1 / (1 + exp(0.5 * {LOGIT})), 6) AS score FROM embeddings")
 def batch_score(spark, folder):
     scored = ln.batch_score(vectors(spark, folder), "embedding", 64, make_linear, class_index=1)
@@ -190,11 +201,12 @@ def udaf_metric(spark, folder):
     return area.select(F.round("auc", 6).alias("auc"), F.round(share, 6).alias("accuracy"))
 
 
-@query("chunk_iter", "SELECT count(*) AS rows, sum(length(text))::BIGINT AS total FROM documents")
+@query("chunk_iter", "SELECT count(*) AS rows, sum(length(text))::BIGINT AS total, true AS cut FROM documents")
 def chunk_iter(spark, folder):
-    """Chunks of 1,000 texts, summed up again."""
-    chunks = batches.chunk_sizes(documents(spark, folder), 1_000, "text")
-    return chunks.agg(F.sum("rows").alias("rows"), F.sum("total").alias("total"))
+    """Chunks of 7 texts, summed up again; only the last chunk of a task may be smaller."""
+    chunks = batches.chunk_sizes(documents(spark, folder), 7, "text")
+    full = (F.max("rows") == 7) & (F.count_if(F.col("rows") < 7) <= F.count_if(F.col("chunk") == 0))
+    return chunks.agg(F.sum("rows").alias("rows"), F.sum("total").alias("total"), full.alias("cut"))
 
 
 @query("cv_fit_by_fold")

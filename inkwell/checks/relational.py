@@ -287,8 +287,8 @@ def append_pseudo_labels(spark, folder):
 
 @query(
     "concat_arrays",
-    """SELECT doc_id AS id, 'train' AS part, len(string_split_regex(text, ' +')) AS n_tokens FROM documents
-       UNION ALL SELECT item_id, 'target', len(string_split_regex(text, ' +')) FROM benchmark""",
+    """SELECT doc_id AS id, 'train' AS part, array_to_string(string_split_regex(text, ' +'), '|') AS tokens FROM documents
+       UNION ALL SELECT item_id, 'target', array_to_string(string_split_regex(text, ' +'), '|') FROM benchmark""",
 )
 def concat_arrays(spark, folder):
     """Token lists of two corpora, one after the other."""
@@ -296,4 +296,4 @@ def concat_arrays(spark, folder):
         documents(spark, folder).select("id", F.lit("train").alias("part"), F.split("text", " +").alias("tokens")),
         targets(spark, folder).select("id", F.lit("target").alias("part"), F.split("text", " +").alias("tokens")),
     )
-    return parts.select("id", "part", F.size("tokens").cast("bigint").alias("n_tokens"))
+    return parts.select("id", "part", F.array_join("tokens", "|").alias("tokens"))

@@ -43,7 +43,8 @@ def scan_many_csv(spark, folder):
     main = essays(spark, folder).where("generated IS NOT NULL").select("text", "prompt_name", "generated")
     chats = table(spark, folder, "conversations").select("text", F.lit(1).alias("label"), "role")
     paths = {"main": written_csv(main, "main"), "chats": written_csv(chats, "chats")}
-    return readers.read_corpora(spark, paths, {"generated": "label"}, repeats={"chats": 2})
+    types = {"main": "text STRING, prompt_name STRING, generated INT", "chats": "text STRING, label INT, role STRING"}
+    return readers.read_corpora(spark, paths, {"generated": "label"}, repeats={"chats": 2}, schemas=types)
 
 
 @query("scan_projected", "SELECT doc_id AS id, source FROM documents")
@@ -83,7 +84,7 @@ def list_files(spark, folder):
 
 @query(
     "scan_dictionary",
-    r"SELECT DISTINCT unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS word FROM documents",
+    r"SELECT word, count(*) AS freq FROM (SELECT unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS word FROM documents) GROUP BY word",
 )
 def scan_dictionary(spark, folder):
     """A word list written as text, one word per line, and read back."""

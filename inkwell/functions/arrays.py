@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 
@@ -31,6 +31,12 @@ def pad_ids(ids: Column, length: int, pad: int) -> Column:
     return F.slice(F.concat(ids, F.array_repeat(F.lit(pad), length)), 1, length)
 
 
+def pad_to_longest(ids: Column, batch: Column, pad: int) -> Column:
+    """Ids padded at the end to the longest list of their batch; a batch is a bounded number of rows."""
+    longest = F.max(F.size(ids)).over(Window.partitionBy(batch))
+    return F.concat(ids, F.array_repeat(F.lit(pad), longest - F.size(ids)))
+
+
 def attention_mask(ids: Column, length: int) -> Column:
     """1 for each kept id and 0 for each pad position."""
     kept = F.least(F.size(ids), F.lit(length))

@@ -26,7 +26,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,17 @@ class TermModel:
     coefficients: DataFrame
     intercept: float
 
+    def save(self, path: str) -> None:
+        """Write the coefficients, and the intercept under the null term, as Parquet."""
+        spark = self.coefficients.sparkSession
+        intercept = spark.createDataFrame([(None, self.intercept)], "term string, coef double")
+        self.coefficients.select("term", "coef").union(intercept).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> TermModel:
+        rows = spark.read.parquet(path)
+        return cls(rows.where("term IS NOT NULL"), rows.where("term IS NULL").select("coef").scalar())
+
     def decision(self, weights: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
         """``id, decision`` for every id; a text without known terms gets the intercept."""
         coefficients = broadcast_if_small(self.coefficients)
@@ -125,11 +136,10 @@ def ridge_score(
     return model.decision(target, ids, key).select(key, sigmoid(F.col("decision")).alias("score"))
 
 
-def naive_bayes_score(
-    train: DataFrame, labels: DataFrame, target: DataFrame, ids: DataFrame, vocab: DataFrame | None = None,
-    alpha: float = 0.02, key: str = "id",
-) -> DataFrame:
-    """``id, score``: probability of label 1 under multinomial naive Bayes.
+def naive_bayes_fit(
+    train: DataFrame, labels: DataFrame, vocab: DataFrame | None = None, alpha: float = 0.02, key: str = "id"
+) -> TermModel:
+    """Log-odds of label 1 under multinomial naive Bayes.
 
     A vocabulary term that no training text holds counts 0, plus ``alpha`` like all others.
     """
@@ -144,7 +154,15 @@ def naive_bayes_score(
     size, t0, t1 = sums.agg(F.count("*"), F.sum("c0"), F.sum("c1")).first()
     n0, n1 = labels.agg(F.count_if(F.col("label") == 0), F.count_if(F.col("label") == 1)).first()
     log_odds = F.log((F.col("c1") + alpha) / (t1 + alpha * size)) - F.log((F.col("c0") + alpha) / (t0 + alpha * size))
-    model = TermModel(sums.select("term", log_odds.alias("coef")), float(np.log(n1) - np.log(n0)))
+    return TermModel(sums.select("term", log_odds.alias("coef")), float(np.log(n1) - np.log(n0)))
+
+
+def naive_bayes_score(
+    train: DataFrame, labels: DataFrame, target: DataFrame, ids: DataFrame, vocab: DataFrame | None = None,
+    alpha: float = 0.02, key: str = "id",
+) -> DataFrame:
+    """``id, score``: probability of label 1 under multinomial naive Bayes."""
+    model = naive_bayes_fit(train, labels, vocab, alpha, key)
     return model.decision(target, ids, key).select(key, sigmoid(F.col("decision")).alias("score"))
 
 

@@ -29,15 +29,17 @@ def read_corpora(
     renames: Mapping[str, str] | None = None,
     columns: Sequence[str] = ("text", "prompt_name", "label"),
     repeats: Mapping[str, int] | None = None,
+    schemas: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Several CSV corpora as one table with columns ``columns`` and ``origin``.
 
     ``renames`` maps other spellings of a column to ours. ``repeats`` gives a corpus more
-    weight by listing its rows that many times.
+    weight by listing its rows that many times. ``schemas`` gives the types of a corpus as DDL,
+    which saves the pass that infers them.
     """
     parts = []
     for origin, path in paths.items():
-        part = read_csv(spark, path)
+        part = read_csv(spark, path, (schemas or {}).get(origin))
         for old, new in (renames or {}).items():
             if old in part.columns and new not in part.columns:
                 part = part.withColumnRenamed(old, new)
@@ -86,8 +88,9 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
 
 
 def read_word_list(spark: SparkSession, path: str) -> DataFrame:
-    """One word per line as ``(word)``, blanks and repeats removed."""
-    return spark.read.text(path).select(F.trim("value").alias("word")).where("word <> ''").distinct()
+    """One word per line as ``(word, freq)``: how many lines hold it, blanks removed."""
+    words = spark.read.text(path).select(F.trim("value").alias("word")).where("word <> ''")
+    return words.groupBy("word").agg(F.count("*").alias("freq"))
 
 
 def words_by_frequency(tokens: DataFrame, min_count: int, token_col: str = "token") -> DataFrame:
