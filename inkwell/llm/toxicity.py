@@ -36,6 +36,7 @@ WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
 GROUPS = 6
 BITS = 18
+MEMO = 200_000
 THRESHOLD = 0.7
 
 
@@ -51,8 +52,35 @@ def signs_of(words: set[str]) -> set[str]:
     return out
 
 
-def slots(signs: set[str]) -> np.ndarray:
-    return np.unique(np.fromiter((zlib.crc32(s.encode()) & ((1 << BITS) - 1) for s in signs), dtype=np.int64, count=len(signs)))
+class Reader:
+    """Hashed signs and votes of texts; what a word gives is worked out once and kept in a bounded memory."""
+
+    def __init__(self, lexicons: list[frozenset[str]]):
+        self.lexicons = lexicons
+        self.memo: dict[str, tuple[tuple[int, ...], int, bool]] = {}
+
+    def word(self, word: str) -> tuple[tuple[int, ...], int, bool]:
+        found = self.memo.get(word)
+        if found is None:
+            if len(self.memo) >= MEMO:
+                self.memo.clear()
+            own = signs_of({word})
+            places = tuple(zlib.crc32(s.encode("utf-8", "surrogatepass")) & ((1 << BITS) - 1) for s in own)
+            hits = sum(1 << k for k, group in enumerate(self.lexicons) if not own.isdisjoint(group))
+            found = self.memo[word] = places, hits, word in INSULT_SET
+        return found
+
+    def read(self, text: str) -> tuple[np.ndarray, tuple[int, ...]]:
+        """Distinct places of the hashed signs, and the votes."""
+        places, hits, insults = [], 0, 0
+        for word in words_of(text):
+            own, flags, insult = self.word(word)
+            places.extend(own)
+            hits |= flags
+            insults += insult
+        lexicon = [hits >> k & 1 for k in range(len(self.lexicons))]
+        votes = (int(insults > 0), int(insults > 1), *lexicon, int(sum(lexicon) > 1))
+        return np.unique(np.array(places, dtype=np.int64)), votes
 
 
 @dataclass
@@ -108,15 +136,9 @@ class ToxicityModel:
     labels: LabelModel | None = None
     weights: np.ndarray | None = None
 
-    def votes(self, text: str) -> tuple[int, ...]:
-        words = words_of(text)
-        signs = signs_of(words)
-        lexicon = [int(not signs.isdisjoint(group)) for group in self.lexicons]
-        insults = len(words & INSULT_SET)
-        return (int(insults > 0), int(insults > 1), *lexicon, int(sum(lexicon) > 1))
-
-    def score(self, text: str) -> float:
-        x, value = row_of(slots(signs_of(words_of(text))), np.array(self.votes(text)))
+    def score(self, text: str, reader: Reader) -> float:
+        signs, votes = reader.read(text)
+        x, value = row_of(signs, np.array(votes))
         return float(1 / (1 + np.exp(-np.clip(self.weights[x] @ value, -50, 50))))
 
 
@@ -208,8 +230,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = 4000, lexicon
     model = ToxicityModel(lexicons=learn_lexicons(known, prior, lexicon_size, precision))
 
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = Reader(model.lexicons)
         for batch in batches:
-            found = ["".join(map(str, model.votes(t if isinstance(t, str) else ""))) for t in batch["text"]]
+            found = ["".join(map(str, reader.read(t if isinstance(t, str) else "")[1])) for t in batch["text"]]
             tally = pd.Series(found).value_counts()
             yield pd.DataFrame({"votes": tally.index, "n": tally.to_numpy(np.int64)})
 
@@ -230,11 +253,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = 4000, lexicon
     model.labels = fit_label_model(patterns, counts, (rows, marked))
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = Reader(model.lexicons)
         for batch in batches:
-            posterior = model.labels.posterior(np.array([model.votes(t) for t in batch["text"]], dtype=float).reshape(-1, GROUPS + 3))
+            read = [reader.read(t) for t in batch["text"]]
+            posterior = model.labels.posterior(np.array([v for _, v in read], dtype=float).reshape(-1, GROUPS + 3))
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"], "target": posterior,
-                "slots": [slots(signs_of(words_of(t))) for t in batch["text"]], "votes": [list(model.votes(t)) for t in batch["text"]],
+                "slots": [x for x, _ in read], "votes": [list(v) for _, v in read],
             })
 
     order = F.xxhash64("doc_id"), F.col("doc_id")
@@ -258,8 +283,9 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         lexicons, weights = shared.value
         own = ToxicityModel(lexicons=[frozenset(g) for g in lexicons], weights=weights)
+        reader = Reader(own.lexicons)
         for texts in parts:
-            yield pd.Series([own.score(t if isinstance(t, str) else "") for t in texts], dtype=float)
+            yield pd.Series([own.score(t if isinstance(t, str) else "", reader) for t in texts], dtype=float)
 
     out = docs.withColumn("held_out", F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1, F.lit(False)))
     out = out.withColumn("score", F.pandas_udf(score, "double")(F.col("text")))
