@@ -5,8 +5,9 @@ together with its path of open elements. Tokens with the same occurrence vector
 block form an equivalence class; a class is valid if its tokens come in one order on every page, and
 classes nest where one lies inside a single gap of another. The valid classes are the template. What
 stands between its tokens are the slots, and the slot region that holds the bulk of the varying text
-is the article. Inside it, parts that are marked as no article are left out, and so are lines the
-template repeats on all pages.
+is the article. Inside it, parts that cannot be article by their tag or role are left out, and so are
+lines the template repeats on all pages. A part whose id or class only sounds like no article is left
+out if the template or its links or form confirm it, and never if it is a heading.
 """
 
 from __future__ import annotations
@@ -48,6 +49,8 @@ MARKS = {
     "skip", "hidden", "print", "tags", "feedback", "paywall",
 }
 MAIN_TAGS = {"article": 2, "main": 1}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+CONTROLS = {"form", "button", "select", "input", "textarea"}
 SPLIT = re.compile(r"[^a-z0-9]+")
 
 
@@ -62,31 +65,34 @@ class Line:
 
 @dataclass
 class Page:
-    """Elements (parent, token, whether outside an article by itself), the order of their tags, and lines."""
+    """Elements (parent, token, whether outside an article by tag or role, whether only its id or class says so, whether it holds a form) and lines."""
 
     parent: list[int]
     token: list[str]
     name: list[str]
     outside: list[bool]
+    marked: list[bool]
+    control: list[bool]
     lines: list[Line]
 
 
-def marked_outside(name: str, attributes: str, inside_main: bool) -> tuple[str, bool]:
-    """The element's token (name, id and classes) and whether it is marked as no part of an article."""
+def marked_outside(name: str, attributes: str, inside_main: bool) -> tuple[str, bool, bool]:
+    """The element's token (name, id and classes), whether it is no part of an article, and whether only its id or class says so."""
     found = {}
     for key, value in ATTRIBUTE.findall(attributes) if attributes.strip(" /") else ():
         found.setdefault(key.lower(), html.unescape(value.strip("\"'")).lower())
     label = f"{found.get('id', '')} {found.get('class', '')}".strip()
     out = name in OUTSIDE or (name == "header" and not inside_main) or found.get("role") in ROLES
     out = out or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
-    if not out and label and name not in ("html", "body", "article", "main"):
-        out = any(part in MARKS for part in SPLIT.split(label))
-    return f"{name}.{label}" if label else name, out
+    marked = False
+    if not out and label and name not in HEADINGS and name not in ("html", "body", "article", "main"):
+        marked = any(part in MARKS for part in SPLIT.split(label))
+    return f"{name}.{label}" if label else name, out, marked
 
 
 def parse(text: str) -> Page:
     """One pass over the tags; unclosed paragraphs, list items and cells end where the next one begins."""
-    page = Page([-1], ["#"], ["#"], [False], [])
+    page = Page([-1], ["#"], ["#"], [False], [False], [False], [])
     stack, buffer, linked, at, length = [0], [], 0, 0, len(text)
 
     def flush() -> None:
@@ -135,11 +141,16 @@ def parse(text: str) -> Page:
                 if page.name[stack[depth]] in stops:
                     break
         inside = any(page.name[e] in MAIN_TAGS for e in stack)
-        token, out = marked_outside(name, hit[3] or hit[6] or "", inside)
+        token, out, marked = marked_outside(name, hit[3] or hit[6] or "", inside)
         page.parent.append(stack[-1])
         page.token.append(token)
         page.name.append(name)
         page.outside.append(out or page.outside[stack[-1]])
+        page.marked.append(marked)
+        page.control.append(False)
+        if name in CONTROLS:
+            for e in stack:
+                page.control[e] = True
         if name in VOID or (hit[3] or hit[6] or "").endswith("/"):
             continue
         stack.append(len(page.parent) - 1)
@@ -198,12 +209,10 @@ def main_path(pages: list[Page], page_paths: list[list[str]]) -> str | None:
     tagged: Counter = Counter()
     for page, names in zip(pages, page_paths):
         own: Counter = Counter()
-        for line in page.lines:
-            if not page.outside[line.path[-1]]:
-                size = max(0, len(line.text) - 2 * line.linked)
-                for token in {names[e] for e in line.path}:
-                    own[token] += size
-        whole = sum(max(0, len(x.text) - 2 * x.linked) for x in page.lines if not page.outside[x.path[-1]]) or 1
+        lines, whole = bulk(page)
+        for line in lines:
+            for token in {names[e] for e in line.path}:
+                own[token] += unlinked(line)
         for token, size in own.items():
             mass[token] += size / whole
         for token in {names[e] for e in range(len(names)) if page.name[e] in MAIN_TAGS}:
@@ -215,19 +224,54 @@ def main_path(pages: list[Page], page_paths: list[list[str]]) -> str | None:
     return max(likely, key=lambda t: (t.count(">"), mass[t], t), default=None)
 
 
+def unlinked(line: Line) -> int:
+    return max(0, len(line.text) - 2 * line.linked)
+
+
+def bulk(page: Page) -> tuple[list[Line], int]:
+    """The lines that show where the article is, and their size: those under no mark, or all if marks hold more than half of the text."""
+    lines = [x for x in page.lines if not page.outside[x.path[-1]]]
+    plain = [x for x in lines if not any(page.marked[e] for e in x.path)]
+    size, whole = sum(map(unlinked, plain)), sum(map(unlinked, lines))
+    return (plain, size or 1) if 2 * size >= whole else (lines, whole)
+
+
+def confirmed(page: Page, lines: list[Line], within: set[int], repeated: set[str]) -> set[int]:
+    """The marked elements below those of ``within`` that are no article: mostly links, a small part with a form, or nothing but ``repeated`` lines."""
+    parts: dict[int, list[Line]] = defaultdict(list)
+    for line in lines:
+        depth = next((k for k, e in enumerate(line.path) if e in within), -1)
+        for e in line.path[depth + 1 :]:
+            if page.marked[e]:
+                parts[e].append(line)
+    whole, out = sum(len(x.text) for x in lines), set()
+    for e, own in parts.items():
+        size = sum(len(x.text) for x in own)
+        links = 2 * sum(x.linked for x in own) >= size
+        if links or (page.control[e] and 2 * size < whole) or all(x.text in repeated for x in own):
+            out.add(e)
+    return out
+
+
 def extract(htmls: list[str]) -> list[str]:
     """The main text of each page of a block of pages of one host."""
     pages = [parse(t) for t in htmls]
     page_paths = [paths(p) for p in pages]
     main = main_path(pages, page_paths)
+    repeated: set[str] = set()
+    if len(pages) >= LINE_PAGES:
+        shown = Counter(text for page in pages for text in {x.text for x in page.lines})
+        repeated = {text for text, n in shown.items() if n == len(pages)}
     kept: list[list[Line]] = []
     for page, names in zip(pages, page_paths):
         own = [x for x in page.lines if not page.outside[x.path[-1]]]
-        inside = [x for x in own if any(names[e] == main for e in x.path)]
+        within = {e for e, name in enumerate(names) if name == main}
+        inside = [x for x in own if any(e in within for e in x.path)]
         if not inside:
-            article = [x for x in own if any(page.name[e] in MAIN_TAGS for e in x.path)]
-            inside = article or own
-        kept.append(inside)
+            within = {e for e, name in enumerate(page.name) if name in MAIN_TAGS}
+            inside = [x for x in own if any(e in within for e in x.path)] or own
+        drop = confirmed(page, inside, within, repeated)
+        kept.append([x for x in inside if not any(e in drop for e in x.path)])
     constant: set[str] = set()
     if len(pages) >= LINE_PAGES and len({tuple(x.text for x in lines) for lines in kept}) == len(pages):
         # a line on every page, whose articles all differ, belongs to the template
