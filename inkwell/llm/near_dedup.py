@@ -189,32 +189,41 @@ def best_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def crossing_pairs(nodes: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, best: int | None) -> DataFrame:
-    """Pairs of a region whose ends are in different components and that may be linked.
+def crossing_cells(nodes: DataFrame, labels: DataFrame, sets: DataFrame | None) -> DataFrame:
+    """``region, asked, block, row, asks``: cells that hold every pair of a region whose ends are in different components.
 
-    A region is what shares the first hashes of a tree. The members outside its largest component are
-    held against all its members, both in blocks of bounded size. ``best`` gives the most alike of
-    each such member in a block. None compares the sets of all pairs that the signatures do not
-    exclude, and gives the first that passes for each other component.
+    A region is what shares the first hashes of a tree. The members outside its largest component ask,
+    in blocks of about ``BLOCK``; all its members answer, in blocks of that size too. A cell is one
+    block of each, so its size does not grow with the region. ``sets`` are added to the rows.
     """
     known = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     rows = known.select("node", "component", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     rows = rows.withColumn("region", F.expr(f"concat(unhex(lpad(hex(tree), 2, '0')), substring(signature, {2 * DEPTH} * tree + 1, {2 * DEPTH}))"))
     sizes = rows.groupBy("region", "component").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("region").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("c"))
-    mixed = written(mixed.where("c > 1").select("region", F.col("top.component").alias("main"), "n"), "mixed-regions")
-    inside = rows.join(mixed, "region").select("region", "tree", "node", "component", "signature", "main", "n")
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("int")
-    inside = inside.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    mixed = mixed.where("c > 1").select("region", F.col("top.component").alias("main"), "n", (F.col("n") - F.col("top.n")).alias("few"))
+    inside = rows.join(written(mixed, "mixed-regions"), "region").select("region", "tree", "node", "component", "signature", "main", "n", "few")
+    for name, size, key in (("block", "n", F.xxhash64("node")), ("asked", "few", F.xxhash64("node", F.lit(1)))):
+        inside = inside.withColumn(f"{name}s", F.greatest(F.lit(1), F.ceil(F.col(size) / BLOCK)).cast("int"))
+        inside = inside.withColumn(name, F.pmod(key, F.col(f"{name}s")).cast("int"))
     inside = written(inside, "mixed-members")
-    if best is None:
+    if sets is not None:
         inside = inside.join(sets, "node")
         row = F.struct("tree", "node", "component", "signature", "shingles")
     else:
         row = F.struct("tree", "node", "component", "signature", F.lit(None).cast("binary").alias("shingles"))
-    every = inside.select("region", "block", row.alias("row"), F.lit(False).alias("asks"))
-    targets = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
-    few = inside.where("component <> main").select("region", targets, row.alias("row"), F.lit(True).alias("asks"))
+    every_block = lambda name: F.explode(F.sequence(F.lit(0), F.col(f"{name}s") - 1)).alias(name)
+    every = inside.select("region", every_block("asked"), "block", row.alias("row"), F.lit(False).alias("asks"))
+    few = inside.where("component <> main").select("region", "asked", every_block("block"), row.alias("row"), F.lit(True).alias("asks"))
+    return every.union(few)
+
+
+def crossing_pairs(nodes: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, best: int | None) -> DataFrame:
+    """Pairs of a region whose ends are in different components and that may be linked.
+
+    ``best`` gives the most alike of each asking member in a cell. None compares the sets of all pairs
+    that the signatures do not exclude, and gives the first that passes for each other component.
+    """
 
     def run(cell: pd.DataFrame) -> pd.DataFrame:
         asks = cell["asks"].to_numpy(dtype=bool)
@@ -244,7 +253,8 @@ def crossing_pairs(nodes: DataFrame, labels: DataFrame, sets: DataFrame, percent
                 found.setdefault(key, (min(rows[i]["node"], rows[j]["node"]), max(rows[i]["node"], rows[j]["node"])))
         return pd.DataFrame(sorted(set(found.values())), columns=["a", "b"])
 
-    return every.union(few).groupBy("region", "block").applyInPandas(run, "a binary, b binary").distinct()
+    cells = crossing_cells(nodes, labels, sets if best is None else None)
+    return cells.groupBy("region", "asked", "block").applyInPandas(run, "a binary, b binary").distinct()
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:

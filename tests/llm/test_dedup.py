@@ -103,3 +103,20 @@ def test_drop_near_copies_keeps_one_of_each_group(spark, frame):
     kept = near_dedup.drop_near_copies(frame(rows)).collect()
     assert len(kept) == len(groups)
     assert near_dedup.drop_near_copies(frame([])).count() == 0
+
+
+def test_cells_of_a_crowded_region_are_bounded_and_hold_every_pair(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    rng, n = random.Random(8), 300
+    head = bytes(2 * near_dedup.DEPTH)
+    rows = [(bytes([i // 256, i % 256]), head + rng.randbytes(2 * near_dedup.HASHES - len(head))) for i in range(n)]
+    nodes = spark.createDataFrame([(bytearray(a), bytearray(b)) for a, b in rows], "node binary, signature binary")
+    labels = spark.createDataFrame([(bytearray(rows[i][0]), bytearray(rows[0][0])) for i in range(40)], "node binary, component binary")
+    cells, pairs = {}, set()
+    for r in near_dedup.crossing_cells(nodes, labels, None).collect():
+        cells.setdefault((bytes(r["region"]), r["asked"], r["block"]), ([], []))[r["asks"]].append(bytes(r["row"]["node"]))
+    assert max(len(a) + len(b) for a, b in cells.values()) < 6 * 16
+    for others, asking in cells.values():
+        pairs |= {frozenset((a, b)) for a in asking for b in others}
+    names = [a for a, _ in rows]
+    assert all(frozenset((names[i], names[j])) in pairs for i in range(n) for j in range(max(i + 1, 40), n))
