@@ -22,6 +22,7 @@ from inkwell.llm.common import small_batches, written
 
 BINS = 2048
 HASHED = 64
+PIECE = 64
 NUMBERS = 13
 CUTS = 9
 RUN = re.compile(r"(.)\1+")
@@ -30,17 +31,22 @@ THRESHOLD = 0.5
 
 
 class Shapes:
-    """Bins of word shapes: letters become a or A, digits 9, runs of one character once; other characters stay."""
+    """Bins of word shapes: letters become a or A, digits 9, runs of one character once; other characters stay.
+
+    A word of more than ``PIECE`` characters counts as its consecutive pieces of that length.
+    """
 
     def __init__(self):
         self.memo: dict[str, int] = {}
 
     def bin_of(self, word: str) -> int:
-        shape = "".join(c if not c.isalnum() else "9" if c.isdigit() else "A" if c.isupper() else "a" for c in word[:64])
+        shape = "".join(c if not c.isalnum() else "9" if c.isdigit() else "A" if c.isupper() else "a" for c in word)
         return zlib.crc32(RUN.sub(r"\1", shape).encode("utf-8", "surrogatepass")) % BINS
 
     def content(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Places and square-rooted shares of the shapes of a text; every word counts."""
+        """Places and square-rooted shares of the shapes of a text; every word counts, and all of it."""
+        if words and max(map(len, words)) > PIECE:
+            words = [word[k : k + PIECE] for word in words for k in range(0, len(word), PIECE)]
         found = list(map(self.memo.get, words))
         if None in found:
             if len(self.memo) > MEMO:

@@ -81,3 +81,12 @@ def test_quality_on_held_out_rows(tables):
     assert quality.score_quality(docs.limit(0), model).count() == 0
     plain = quality.score_quality(docs.select("doc_id", "text"), quality.fit_quality(docs.select("doc_id", "text"), labels.limit(0)))
     assert plain.where("score is null").count() == 0
+
+
+def test_content_reads_a_long_word_to_its_end():
+    view = lambda text: [x.tolist() for x in quality.Shapes().content(text.split())]
+    start = "ab" * 32
+    assert view(start + "x" * 300) != view(start + "X9-" * 100)
+    assert view(start + "x" * 300 + "!") != view(start + "x" * 300)
+    assert view("one " + start + "9") == view("one " + start + " 9")
+    assert view("") == [[], []]
