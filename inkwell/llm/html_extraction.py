@@ -1,31 +1,36 @@
 """Main text of web pages by template deduction over equivalence classes of tokens.
 
-Pages of one host are compared in blocks of bounded size. A token is a tag or a line of text
-together with its path of open elements. Tokens with the same occurrence vector over the pages of a
-block form an equivalence class; a class is valid if its tokens come in one order on every page, and
-classes nest where one lies inside a single gap of another. The valid classes are the template. What
-stands between its tokens are the slots, and the slot region that holds the bulk of the varying text
-is the article. Inside it, parts that cannot be article by their tag or role are left out, and so are
-lines the template repeats on all pages. A part whose id or class only sounds like no article is left
+A token is a tag or a line of text together with its path of open elements. Its occurrences are
+counted over all distinct pages of a host. Tokens of one kind with the same occurrence vector form an
+equivalence class; a class is valid if its tokens come in one order on every page. Classes nest by the
+paths of their tokens. The valid classes are the template. What stands between its tokens are the
+slots, and the slot region that holds the bulk of the varying text is the article. Inside it, parts
+that cannot be article by their tag or role are left out, and so are lines that occur exactly as often
+as the article's element on every page. A part whose id or class only sounds like no article is left
 out if the template or its links or form confirm it, and never if it is a heading.
 """
 
 from __future__ import annotations
 
 import html
+import pickle
 import re
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.llm.common import lookup, small_batches, written
 
-BLOCK_PAGES = 48
-LINE_PAGES = 8
+#: Distinct pages of a host that a line's class needs; fewer cannot tell a template from a quotation.
+SUPPORT = 3
+#: The part of the varying text that the article's element holds, where no tag names it.
+BULK = 0.7
+MILLION = 1_000_000
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -61,6 +66,7 @@ class Line:
     path: tuple[int, ...]
     text: str
     linked: int
+    key: int = 0
 
 
 @dataclass
@@ -171,8 +177,14 @@ def paths(page: Page) -> list[str]:
     return out
 
 
+def one_order(seen: list, size: int) -> list | None:
+    """The order in which the ``size`` tokens of a class come on a page, None if they have no single one."""
+    first = seen[:size]
+    return first if len(set(first)) == size and seen == first * (len(seen) // size) else None
+
+
 def valid_classes(occurrences: list[Counter], orders: list[list[str]]) -> dict[tuple[int, ...], list[str]]:
-    """Equivalence classes by occurrence vector, kept if their tokens come in one repeated order on every page."""
+    """Equivalence classes of a few pages in memory; ``host_tokens`` finds the same over all pages of all hosts."""
     vectors: dict[str, list[int]] = defaultdict(lambda: [0] * len(occurrences))
     for page, counts in enumerate(occurrences):
         for token, n in counts.items():
@@ -182,48 +194,13 @@ def valid_classes(occurrences: list[Counter], orders: list[list[str]]) -> dict[t
         classes[tuple(vector)].append(token)
     out = {}
     for vector, tokens in classes.items():
-        if sum(n > 0 for n in vector) * 2 <= len(vector) and len(vector) > 1:
-            continue
-        members, order, valid = set(tokens), None, True
-        for page, n in enumerate(vector):
-            if n:
-                seen = [t for t in orders[page] if t in members]
-                order = order or seen[: len(tokens)]
-                if seen != order * n:
-                    valid = False
-                    break
-        if valid:
-            out[vector] = order or tokens
+        if sum(n > 0 for n in vector) * 2 > len(vector):
+            found = [one_order([t for t in order if t in set(tokens)], len(tokens)) for n, order in zip(vector, orders) if n]
+            if found[0] and all(x == found[0] for x in found):
+                out[vector] = found[0]
     return out
 
 
-def main_path(pages: list[Page], page_paths: list[list[str]]) -> str | None:
-    """The template's element that holds the article: the deepest one with the bulk of the slots' text."""
-    occurrences, orders = [], []
-    for page, names in zip(pages, page_paths):
-        order = [p for p, n in zip(names, page.name) if n not in INLINE]
-        occurrences.append(Counter(order))
-        orders.append(order)
-    template = {t for tokens in valid_classes(occurrences, orders).values() for t in tokens}
-    mass: Counter = Counter()
-    tagged: Counter = Counter()
-    for page, names in zip(pages, page_paths):
-        own: Counter = Counter()
-        lines, whole = bulk(page)
-        for line in lines:
-            for token in {names[e] for e in line.path}:
-                own[token] += unlinked(line)
-        for token, size in own.items():
-            mass[token] += size / whole
-        for token in {names[e] for e in range(len(names)) if page.name[e] in MAIN_TAGS}:
-            tagged[token] += MAIN_TAGS[token.rsplit(">", 1)[-1].split(".")[0]]
-    marked = [t for t, n in tagged.items() if t in template and mass[t] > 0]
-    if marked:
-        return max(marked, key=lambda t: (tagged[t], mass[t], t))
-    likely = [t for t in template if mass[t] >= 0.7 * len(pages)]
-    return max(likely, key=lambda t: (t.count(">"), mass[t], t), default=None)
-
-
 def unlinked(line: Line) -> int:
     return max(0, len(line.text) - 2 * line.linked)
 
@@ -236,7 +213,7 @@ def bulk(page: Page) -> tuple[list[Line], int]:
     return (plain, size or 1) if 2 * size >= whole else (lines, whole)
 
 
-def confirmed(page: Page, lines: list[Line], within: set[int], repeated: set[str]) -> set[int]:
+def confirmed(page: Page, lines: list[Line], within: set[int], repeated: set[int]) -> set[int]:
     """The marked elements below those of ``within`` that are no article: mostly links, a small part with a form, or nothing but ``repeated`` lines."""
     parts: dict[int, list[Line]] = defaultdict(list)
     for line in lines:
@@ -248,36 +225,153 @@ def confirmed(page: Page, lines: list[Line], within: set[int], repeated: set[str
     for e, own in parts.items():
         size = sum(len(x.text) for x in own)
         links = 2 * sum(x.linked for x in own) >= size
-        if links or (page.control[e] and 2 * size < whole) or all(x.text in repeated for x in own):
+        if links or (page.control[e] and 2 * size < whole) or all(x.key in repeated for x in own):
             out.add(e)
     return out
 
 
-def extract(htmls: list[str]) -> list[str]:
-    """The main text of each page of a block of pages of one host."""
-    pages = [parse(t) for t in htmls]
-    page_paths = [paths(p) for p in pages]
-    main = main_path(pages, page_paths)
-    repeated: set[str] = set()
-    if len(pages) >= LINE_PAGES:
-        shown = Counter(text for page in pages for text in {x.text for x in page.lines})
-        repeated = {text for text, n in shown.items() if n == len(pages)}
-    kept: list[list[Line]] = []
-    for page, names in zip(pages, page_paths):
-        own = [x for x in page.lines if not page.outside[x.path[-1]]]
-        within = {e for e, name in enumerate(names) if name == main}
-        inside = [x for x in own if any(e in within for e in x.path)]
-        if not inside:
-            within = {e for e, name in enumerate(page.name) if name in MAIN_TAGS}
-            inside = [x for x in own if any(e in within for e in x.path)] or own
-        drop = confirmed(page, inside, within, repeated)
-        kept.append([x for x in inside if not any(e in drop for e in x.path)])
-    constant: set[str] = set()
-    if len(pages) >= LINE_PAGES and len({tuple(x.text for x in lines) for lines in kept}) == len(pages):
-        # a line on every page, whose articles all differ, belongs to the template
-        seen = Counter(text for lines in kept for text in {x.text for x in lines})
-        constant = {text for text, n in seen.items() if n == len(pages)}
-    return ["\n".join(x.text for x in lines if x.text not in constant) for lines in kept]
+def digest(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def sketch(text: str) -> tuple[Page, list[int], list[int]]:
+    """The parsed page with digests in place of tokens, and the digest and depth of every element's path."""
+    page = parse(text)
+    names = paths(page)
+    known = {name: digest(name) for name in set(names)}
+    for line in page.lines:
+        line.key = digest(f"{known[names[line.path[-1]]]} {line.text}")
+    page.token = []
+    return page, [known[n] for n in names], [n.count(">") for n in names]
+
+
+def packed(text: str) -> bytes:
+    """The sketch of a page as plain values, without the classes of this module."""
+    page, keys, depths = sketch(text)
+    lines = [(x.path, x.text, x.linked, x.key) for x in page.lines]
+    return pickle.dumps((page.parent, page.name, page.outside, page.marked, page.control, lines, keys, depths), 5)
+
+
+def unpacked(data: bytes) -> tuple[Page, list[int], list[int]]:
+    parent, name, outside, marked, control, lines, keys, depths = pickle.loads(data)
+    return Page(parent, [], name, outside, marked, control, [Line(*x) for x in lines]), keys, depths
+
+
+def token_orders(page: Page, keys: list[int]) -> tuple[list[int], list[int]]:
+    """The tags and the lines of a page in their order."""
+    return [k for k, name in zip(keys, page.name) if name not in INLINE], [x.key for x in page.lines]
+
+
+def token_rows(site: str, mark: str, page: Page, keys: list[int], depths: list[int], out: dict) -> None:
+    """Add the page to the sums of its tokens: vector, pages, share of the varying text, article tags, characters; then fixed values of a token."""
+    tags, lines = token_orders(page, keys)
+    share, size, tagged = Counter(), Counter(), {}
+    plain, whole = bulk(page)
+    for line in plain:
+        for k in {keys[e] for e in line.path}:
+            share[k] += unlinked(line)
+    for line in page.lines:
+        if not page.outside[line.path[-1]]:
+            for k in {keys[e] for e in line.path} | {line.key}:
+                size[k] += len(line.text)
+    for e, name in enumerate(page.name):
+        if name in MAIN_TAGS:
+            tagged[keys[e]] = MAIN_TAGS[name]
+    depth = dict(zip(keys, depths))
+    first = {x.key: x for x in page.lines}
+    for kind, order in enumerate((tags, lines)):
+        for k, n in Counter(order).items():
+            row = out.get((site, kind, k))
+            if row is None:
+                heads = kind == 1 and any(page.name[e] in HEADINGS for e in first[k].path)
+                under = sorted({keys[e] for e in first[k].path}) if kind else []
+                row = out[site, kind, k] = [0, 0, 0, 0, 0, 0 if kind else depth[k], heads, under]
+            row[0] ^= digest(f"{mark} {n}")
+            row[1] += 1
+            if not kind:
+                row[2] += MILLION * share[k] // whole
+                row[3] += tagged.get(k, 0)
+            row[4] += size[k]
+
+
+def article_text(page: Page, keys: list[int], main: int | None, template: set[int], repeated: set[int]) -> str:
+    """The lines of the article: those below the element ``main``, without marked parts that are confirmed and lines of the template."""
+    own = [x for x in page.lines if not page.outside[x.path[-1]]]
+    within = {e for e, k in enumerate(keys) if k == main}
+    inside = [x for x in own if any(e in within for e in x.path)]
+    if not inside:
+        within = {e for e, name in enumerate(page.name) if name in MAIN_TAGS}
+        inside = [x for x in own if any(e in within for e in x.path)] or own
+    drop = confirmed(page, inside, within, repeated)
+    return "\n".join(x.text for x in inside if x.key not in template and not any(e in drop for e in x.path))
+
+
+def host_tokens(parsed: DataFrame) -> DataFrame:
+    """``site, kind, token, vector, pages, share, tagged, size, depth, heading, under, total``: the tokens of valid classes on more than half of a site's pages."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out: dict = {}
+            for site, mark, data in zip(batch["site"], batch["mark"], batch["page"]):
+                token_rows(site, mark, *unpacked(data), out)
+            yield pd.DataFrame([(*k, *v) for k, v in out.items()], columns=names)
+
+    names = ["site", "kind", "token", "vector", "pages", "share", "tagged", "size", "depth", "heading", "under"]
+    schema = "site string, kind int, token long, vector long, pages long, share long, tagged long, size long, depth int, heading boolean, under array<long>"
+    sums = [F.bit_xor("vector").alias("vector"), *(F.sum(n).alias(n) for n in ("pages", "share", "tagged", "size"))]
+    fixed = [F.any_value(n).alias(n) for n in ("depth", "heading", "under")]
+    counted = parsed.mapInPandas(count, schema).groupBy("site", "kind", "token").agg(*sums, *fixed)
+    totals = written(parsed.groupBy("site").agg(F.count("*").alias("total")), "site-pages")
+    tokens = written(counted.join(lookup(totals, 64), "site").where("2 * pages > total"), "site-tokens")
+    several = tokens.groupBy("site", "kind", "vector").agg(F.collect_list("token").alias("tokens")).where("size(tokens) > 1")
+    several = written(several.groupBy("site").agg(F.collect_list(F.struct("kind", "vector", "tokens")).alias("classes")), "site-classes")
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found, classes = {}, {}
+            for site, data, given in zip(batch["site"], batch["page"], batch["classes"]):
+                if site not in classes:
+                    classes[site] = [(c["kind"], c["vector"], set(c["tokens"])) for c in given]
+                    classes[site].append([{t: c[1] for c in classes[site] if c[0] == kind for t in c[2]} for kind in (0, 1)])
+                page, keys, _ = unpacked(data)
+                *known, places = classes[site]
+                seen = defaultdict(list)
+                for kind, order in enumerate(token_orders(page, keys)):
+                    for t in order:
+                        if t in places[kind]:
+                            seen[kind, places[kind][t]].append(t)
+                for kind, vector, members in known:
+                    if own := seen.get((kind, vector)):
+                        order = one_order(own, len(members))
+                        found.setdefault((site, kind, vector), set()).add(digest(str(order)) if order else None)
+            rows = [(*k, None not in v, min(v - {None}, default=0), max(v - {None}, default=0)) for k, v in found.items()]
+            yield pd.DataFrame(rows, columns=["site", "kind", "vector", "ordered", "least", "most"])
+
+    orders = parsed.select("site", "page").join(lookup(several, 8192), "site")
+    orders = orders.mapInPandas(check, "site string, kind int, vector long, ordered boolean, least long, most long")
+    orders = orders.groupBy("site", "kind", "vector").agg(F.bool_and("ordered").alias("ordered"), F.min("least").alias("least"), F.max("most").alias("most"))
+    broken = written(orders.where("not ordered or least <> most").select("site", "kind", "vector"), "broken-classes")
+    return tokens.join(lookup(broken, 64), ["site", "kind", "vector"], "left_anti")
+
+
+def templates(tokens: DataFrame) -> DataFrame:
+    """``site, main, template, repeated``: the article's element, the lines of its class inside it, and all lines of valid classes.
+
+    Lines that would take half of the article's text are no template: those pages are near copies.
+    """
+    best = lambda when, first: F.max(F.when(when, F.struct(F.col(first).cast("long").alias("first"), "share", "token", "vector", "size")))
+    named = best((F.col("tagged") > 0) & (F.col("share") > 0), "tagged")
+    likely = best(F.col("share") >= BULK * MILLION * F.col("total"), "depth")
+    mains = written(tokens.where("kind = 0").groupBy("site").agg(F.coalesce(named, likely).alias("main")), "site-mains")
+    lines = tokens.where(f"kind = 1 and total >= {SUPPORT}").join(lookup(mains, 128), "site")
+    inside = F.expr("vector = main.vector and array_contains(under, main.token)")
+    lines = lines.groupBy("site").agg(
+        F.collect_list("token").alias("repeated"), F.collect_list(F.when(inside & ~F.col("heading"), F.col("token"))).alias("template"),
+        F.sum(F.when(inside, F.col("size")).otherwise(0)).alias("taken"))
+    out = mains.join(lines, "site", "left")
+    few = F.coalesce(2 * F.col("taken") < F.col("main.size"), F.lit(False))
+    none = F.array().cast("array<long>")
+    return out.select("site", F.col("main.token").alias("main"), F.when(few, F.col("template")).otherwise(none).alias("template"), F.coalesce("repeated", none).alias("repeated"))
 
 
 def host_of(url: str):
@@ -288,22 +382,35 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     """``page_id, url, text, n_chars`` of every page.
 
     Null html counts as empty and gives an empty text. A page of no host, and the only page of a
-    host, is its own template. A host of many pages is dealt by a hash of id and url into blocks of
-    about ``BLOCK_PAGES`` pages, so no host needs a large task. Repeated rows give equal rows; an
-    empty table gives none; other columns are left out.
+    host, is its own template. Tokens are counted over all distinct pages of a host and its template is
+    applied page by page, so no host needs a large task. Repeated rows give equal rows; an empty table
+    gives none; other columns are left out.
     """
     small_batches(pages.sparkSession)
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-    rows = rows.withColumn("host", host_of("url"))
-    heavy = rows.groupBy("host").count().where(F.col("count") > BLOCK_PAGES)
-    heavy = written(heavy.select("host", F.ceil(F.col("count") / BLOCK_PAGES).cast("int").alias("blocks")), "heavy-hosts")
-    dealt = rows.join(lookup(heavy, 64), "host", "left")
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("blocks", F.lit(1))).cast("int"))
-
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values(["page_id", "url"], kind="stable")
-        texts = extract(list(block["html"]))
-        return pd.DataFrame({"page_id": block["page_id"].to_numpy(), "url": block["url"].to_numpy(), "text": texts, "n_chars": np.array([len(t) for t in texts], dtype=np.int64)})
-
-    kind = dict(dealt.dtypes)["page_id"]
-    return dealt.groupBy("host", "block").applyInPandas(run, f"page_id {kind}, url string, text string, n_chars long")
+    rows = rows.withColumn("mark", F.md5("html")).withColumn("host", host_of("url"))
+    rows = rows.withColumn("site", F.when(F.col("host") == "", F.concat(F.lit("//"), "mark")).otherwise(F.col("host")))
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"site": batch["site"], "mark": batch["mark"], "page": [packed(t) for t in batch["html"]]})
+
+    distinct = rows.groupBy("site", "mark").agg(F.first("html").alias("html"))
+    parsed = written(distinct.mapInPandas(read, "site string, mark string, page binary"), "parsed-pages")
+    known = written(templates(host_tokens(parsed)), "site-templates")
+
+    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts, sets = [], {}
+            for site, data, main, *lines in zip(batch["site"], batch["page"], batch["main"], batch["template"], batch["repeated"]):
+                page, keys, _ = unpacked(data)
+                if site not in sets:
+                    sets[site] = [int(main) if main is not None else None, *(set(map(int, x)) for x in lines)]
+                texts.append(article_text(page, keys, *sets[site]))
+            yield pd.DataFrame({"site": batch["site"], "mark": batch["mark"], "text": texts})
+
+    # as text, so that a missing element does not turn the digests of a batch to floats
+    found = parsed.join(lookup(known.withColumn("main", F.col("main").cast("string")), 2048), "site", "left")
+    found = written(found.mapInPandas(apply, "site string, mark string, text string"), "page-texts")
+    out = rows.select("page_id", "url", "site", "mark").join(found, ["site", "mark"])
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -34,7 +34,7 @@ def test_article_of_another_layout(spark):
     assert html_extraction.extract_pages(df.limit(0)).count() == 0
 
 
-def test_article_text_under_ids_and_classes_that_sound_like_no_article():
+def test_article_text_under_ids_and_classes_that_sound_like_no_article(spark):
     body = (
         '<header class="entry-header"><h1>Head {0}</h1></header><p>First {0} and more words of it</p><section id="discussion"><p>Discussed {0} at length</p></section>'
         '<h2 id="related-work">Related work {0}</h2><h2 id="share-prices" class="social">Prices {0}</h2><div class="article-header"><p>Lead {0} of the text</p></div>'
@@ -42,13 +42,30 @@ def test_article_text_under_ids_and_classes_that_sound_like_no_article():
     )
     apart = '<div class="share-links"><a href=/a>Tell {0}</a> <a href=/b>Send</a></div><div class="newsletter"><p>Write {0}</p><form><input name=m></form></div>'
     want = "Head {0}\nFirst {0} and more words of it\nDiscussed {0} at length\nRelated work {0}\nPrices {0}\nLead {0} of the text\nNoticed {0}"
-    for shell in ("<html><body><nav>Go</nav><article>%s</article></body></html>", '<html><body><div id="content-sidebar-wrap"><div class="post">%s</div></div></body></html>'):
+    rows, wants = [], {}
+    for k, shell in enumerate(("<html><body><nav>Go</nav><article>%s</article></body></html>", '<html><body><div id="content-sidebar-wrap"><div class="post">%s</div></div></body></html>')):
         for n in (1, 4, 9):
             if "<article>" not in shell and n == 1:
                 continue
             inner = body if "<article>" in shell else body.replace("header class", "div class").replace("</header>", "</div>")
-            pages = [shell.replace("%s", inner.format(i) + apart.format(i)) for i in range(n)]
-            assert html_extraction.extract(pages) == [want.format(i) for i in range(n)]
+            for i in range(n):
+                rows.append((len(rows), f"http://h{k}{n}.example/{i}", shell.replace("%s", inner.format(i) + apart.format(i))))
+                wants[len(rows) - 1] = want.format(i)
+    out = html_extraction.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in out} == wants
+
+
+def test_template_lines_do_not_hang_on_the_number_of_pages(spark):
+    rng, rows, wants = random.Random(4), [], {}
+    for n in (4, 7, 8, 120):
+        for i in range(n):
+            body = " ".join(f"w{rng.randrange(999)}" for _ in range(20))
+            html = f"<html><body><article><h2>Summary</h2><p>{body}</p><p>All rights with us</p></article></body></html>"
+            for _ in range(1 + (i == 0)):
+                rows.append((len(rows), f"http://h{n}.example/{len(rows)}", html))
+                wants[len(rows) - 1] = f"Summary\n{body}"
+    out = html_extraction.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in out} == wants
 
 
 def test_classes_need_one_order():
