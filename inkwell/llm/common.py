@@ -43,6 +43,22 @@ def lookup(df: DataFrame, row_bytes: int, limit_mb: int = BROADCAST_MB) -> DataF
     return F.broadcast(df) if df.count() * row_bytes <= limit_mb << 20 else df
 
 
+def join_unique(left: DataFrame, right: DataFrame, on: list[str], weight: str, share: int = 1_000) -> DataFrame:
+    """``left`` with the other columns of ``right``, a written table of one row per key (nulls where it has none).
+
+    ``weight`` is a column of ``right``: how many rows of ``left`` hold the key. Keys of more than a
+    ``share``-th of these rows, hence fewer than ``share`` keys, are broadcast; the rest meet by shuffle.
+    """
+    total = right.agg(F.sum(weight)).first()[0] or 0
+    if not total:
+        return left.join(right.drop(weight), on, "left")
+    often = F.broadcast(right.where(F.col(weight) * share > total))
+    seldom = right.where(F.col(weight) * share <= total)
+    hot = left.join(often.drop(weight), on)
+    rest = left.join(often.select(*on), on, "left_anti").join(seldom.drop(weight), on, "left")
+    return hot.unionByName(rest)
+
+
 def slices(texts: Iterable[str | None], limit: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of consecutive texts as UTF-8 of about ``limit`` bytes (one text at least), with the first one's place."""
     first, held, size = 0, [], 0
