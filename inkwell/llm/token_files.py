@@ -15,6 +15,7 @@ Any run of ids is found by its block's offset and unpacked by numpy, eight ids a
 
 from __future__ import annotations
 
+import bisect
 import os
 import uuid
 import zlib
@@ -37,6 +38,9 @@ HEADER = 56
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 22
 READ_TASKS = 4096
+PART_BYTES = 1 << 25
+MAX_PARTS = 1 << 14
+SAMPLE = 64
 
 
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
@@ -79,7 +83,8 @@ class TokenWriter:
         self.bits, self.block = bits, block
         self.files.create_dir(os.path.dirname(self.path), recursive=True)
         self.parts: list[bytes] = []
-        self.rest = np.zeros(0, dtype=np.uint32)
+        self.waiting: list[np.ndarray] = []
+        self.held = 0
         self.offsets, self.docs, self.nulls, self.starts = [0], [], bytearray(), [0]
 
     def add(self, doc: int | None, ids: np.ndarray) -> None:
@@ -88,18 +93,22 @@ class TokenWriter:
         self.docs.append(0 if doc is None else doc)
         self.nulls.append(doc is None)
         self.starts.append(self.starts[-1] + len(ids))
-        self.rest = np.concatenate([self.rest, ids])
-        while len(self.rest) >= self.block:
-            self.put(self.rest[: self.block])
-            self.rest = self.rest[self.block :]
+        self.waiting.append(ids)
+        self.held += len(ids)
+        if self.held >= self.block:
+            rest = np.concatenate(self.waiting)
+            whole = len(rest) - len(rest) % self.block
+            for first in range(0, whole, self.block):
+                self.put(rest[first : first + self.block])
+            self.waiting, self.held = [rest[whole:]], len(rest) - whole
 
     def put(self, ids: np.ndarray) -> None:
         self.parts.append(pack_bits(ids, self.bits))
         self.offsets.append(self.offsets[-1] + len(self.parts[-1]))
 
     def close(self) -> None:
-        if len(self.rest):
-            self.put(self.rest)
+        if self.held:
+            self.put(np.concatenate(self.waiting))
         header = [MAGIC, 1, self.bits, self.block, len(self.docs), self.starts[-1], len(self.offsets) - 1]
         with self.files.open_output_stream(self.path) as out:
             out.write(np.array(header, dtype="<u8").tobytes())
@@ -197,77 +206,101 @@ class TokenFolder:
         return self.files.repartition(tasks).mapInPandas(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
-def encode_ids(docs: DataFrame, id_col: str, text_col: str, end: int | None) -> DataFrame:
-    """``doc_id, ids`` (little-endian unsigned 32-bit) of every text, null as empty, with the end id."""
-    small_batches(docs.sparkSession)
+def range_bounds(docs: DataFrame, part_bytes: int) -> list[tuple]:
+    """Keys ``(has an id, id, tie, salt)`` that cut the documents into ranges of about ``part_bytes`` of text.
+
+    They come from a sample of at most about ``SAMPLE`` keys a range and only balance the tasks.
+    """
+    n, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(MAX_PARTS, max(-(-size // part_bytes), min(cores, n // 64))))
+    if parts == 1:
+        return []
+    keys = docs.select("doc_id", "tie", "salt").sample(min(1.0, SAMPLE * parts / n), 1).collect()
+    found = sorted(order_key(*r) for r in keys)
+    return sorted({found[k * len(found) // parts] for k in range(1, parts)}) if found else []
+
+
+def order_key(doc: int | None, tie: int, salt: int) -> tuple:
+    return (doc is not None, doc or 0, tie, salt)
+
+
+def encode_ids(docs: DataFrame, bounds: list[tuple], vocab_size: int, end: int | None) -> DataFrame:
+    """``part, doc_id, tie, ids`` of every text, null as empty, with the end id; ids take two bytes if the vocabulary allows."""
     last = b"" if end is None else np.array([end], dtype="<u4").tobytes()
+    small = id_type(vocab_size)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens = ByteTokens()
         for batch in batches:
-            found = tokens.encode_all([t if isinstance(t, str) else "" for t in batch.iloc[:, 1]])
-            yield pd.DataFrame({"doc_id": batch.iloc[:, 0].astype("Int64"), "ids": [data + last for data in found]})
+            found = tokens.encode_all([t if isinstance(t, str) else "" for t in batch["text"]])
+            docs = [None if pd.isna(i) else int(i) for i in batch["doc_id"]]
+            yield pd.DataFrame({
+                "part": np.array([bisect.bisect_right(bounds, order_key(*key)) for key in zip(docs, batch["tie"], batch["salt"])], dtype=np.int32),
+                "doc_id": pd.array(docs, dtype="Int64"),
+                "tie": batch["tie"],
+                "ids": [np.frombuffer(data + last, dtype="<u4").astype(small).tobytes() for data in found],
+            })
 
-    columns = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return columns.mapInPandas(run, "doc_id long, ids binary")
+    return docs.mapInPandas(run, "part int, doc_id long, tie long, ids binary")
 
 
-def write_files(rows: DataFrame, vocab_size: int, folder: str, file_ids: int = FILE_IDS) -> TokenFolder:
-    """Write ``doc_id, ids``, a table that reads the same twice, to files in ascending order of the ids.
+def id_type(vocab_size: int) -> str:
+    return "<u2" if vocab_size <= 1 << 16 else "<u4"
+
+
+def write_tokens(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab_size: int = 50_257, end: int | None = 0,
+    folder: str | None = None, file_ids: int = FILE_IDS, part_bytes: int = PART_BYTES,
+) -> TokenFolder:
+    """Encode every whole text and write the ids to files in ascending order of the document ids.
 
-    Null ids come first; rows of one id are in the order of their ids' digest. Every task writes its range to files of about
+    Null and empty texts hold the end id alone. Null ids come first; equal ids are in the order of their
+    text's hash, and repeated rows each keep their own entry. An empty table gives no files. Other columns play no part.
+    Ids are dealt to ranges as they are encoded and shuffled once. Every task writes its ranges to files of about
     ``file_ids`` ids under names of its own, and the returned table names the files of the tasks that
-    were committed, so what a lost or repeated task leaves behind is never read.
+    were committed, so what a lost or repeated task leaves behind is never read. ``folder`` is one
+    that all executors reach; by default a new one under the shared checkpoint folder.
     """
-    small_batches(rows.sparkSession)
-    bits = max(1, (vocab_size - 1).bit_length())
+    spark = docs.sparkSession
+    small_batches(spark)
+    folder = folder or scratch_path(spark, "token-folder")
+    text = F.col(text_col)
+    salt = F.xxhash64(F.monotonically_increasing_id())  # deals rows that are equal in all else
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), salt.alias("salt"), text.alias("text"))
+    bounds = range_bounds(rows, part_bytes)
+    bits, kind = max(1, (vocab_size - 1).bit_length()), id_type(vocab_size)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        writer, number, first = None, 0, 0
+        writer, number, part = None, 0, None
         done: list[tuple] = []
 
         def finish() -> None:
-            nonlocal writer, number, first
+            nonlocal writer, number
             writer.close()
-            done.append((first, number, writer.uri, len(writer.docs), writer.starts[-1]))
+            done.append((part, number, writer.uri, len(writer.docs), writer.starts[-1]))
             writer, number = None, number + 1
 
         for batch in batches:
-            for part, doc, data in zip(batch["part"], batch["doc_id"], batch["ids"]):
-                if writer is None:
-                    first = int(part)
-                    writer = TokenWriter(f"{folder}/tokens-{first:06d}-{number:06d}-{uuid.uuid4().hex}.bits", bits)
-                writer.add(None if pd.isna(doc) else int(doc), np.frombuffer(data, dtype="<u4"))
-                if writer.starts[-1] >= file_ids:
+            for mine, doc, data in zip(batch["part"].tolist(), batch["doc_id"], batch["ids"]):
+                if writer is not None and (mine != part or writer.starts[-1] >= file_ids):
                     finish()
+                if writer is None:
+                    number = number if mine == part else 0
+                    part = mine
+                    writer = TokenWriter(f"{folder}/tokens-{part:06d}-{number:06d}-{uuid.uuid4().hex}.bits", bits)
+                writer.add(None if pd.isna(doc) else int(doc), np.frombuffer(data, dtype=kind).astype(np.uint32))
         if writer is not None:
             finish()
         yield pd.DataFrame(done, columns=["part", "number", "path", "docs", "ids"])
 
-    tie = F.xxhash64("ids")
-    placed = rows.withColumn("tie", tie).repartitionByRange(F.col("doc_id").asc_nulls_first(), "tie")
-    placed = placed.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie").withColumn("part", F.spark_partition_id())
-    found = placed.select("part", "doc_id", "ids").mapInPandas(run, "part int, number int, path string, docs long, ids long")
-    found = written(found, "token-files")
+    placed = encode_ids(rows, bounds, vocab_size, end).repartitionById(len(bounds) + 1, "part")
+    placed = placed.sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "tie").select("part", "doc_id", "ids")
+    found = written(placed.mapInPandas(run, "part int, number int, path string, docs long, ids long"), "token-files")
     summed = running_totals(found, ["part", "number"], {"up_to": "ids"})
     return TokenFolder(summed.select("part", "number", "path", "docs", "ids", (F.col("up_to") - F.col("ids")).alias("before")))
 
 
-def write_tokens(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab_size: int = 50_257, end: int | None = 0,
-    folder: str | None = None, file_ids: int = FILE_IDS,
-) -> TokenFolder:
-    """Encode every whole text and write the ids to files in ascending order of the document ids.
-
-    Null and empty texts hold the end id alone. Null ids come first; equal ids and repeated rows each
-    keep their own entry. An empty table gives no files. Other columns play no part. ``folder`` is one
-    that all executors reach; by default a new one under the shared checkpoint folder.
-    """
-    folder = folder or scratch_path(docs.sparkSession, "token-folder")
-    rows = written(encode_ids(docs, id_col, text_col, end), "token-ids")
-    return write_files(rows, vocab_size, folder, file_ids)
-
-
 def token_rows(folder: TokenFolder, digest: Callable[[bytes], int] = zlib.crc32) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document, from the files."""
     crc = F.pandas_udf(lambda ids: ids.map(digest).astype("int64"), "long")
