@@ -10,7 +10,7 @@ from inkwell.operators import aggregates as agg
 from inkwell.operators import features as fx
 from inkwell.operators.relational import dedup_key_first
 from inkwell.plans.nearest import nearest_documents as nearest
-from inkwell.session import spread
+from inkwell.session import cut, spread
 from inkwell.sources import tables
 
 LOW, HIGH = 3, 4
@@ -72,7 +72,7 @@ def document_frequency(spark, folder):
 )
 def vocab_restrict(spark, folder):
     tokens = words(F.col("text"))
-    vocab = fx.vocab_table(fx.grams(targets(spark, folder), tokens, LOW, HIGH))
+    vocab = cut(fx.vocab_table(fx.grams(targets(spark, folder), tokens, LOW, HIGH)))
     kept = fx.vocab_restrict(fx.grams(documents(spark, folder), tokens, LOW, HIGH), vocab)
     return kept.groupBy("id", "term").agg(F.count("*").alias("tf"))
 
@@ -117,7 +117,7 @@ def max_abs_scale(spark, folder):
 @query("cosine_similarity", f"WITH {SIMS} SELECT query_id, id, round(sim, 6) AS sim FROM sims")
 def cosine_similarity(spark, folder):
     _, _, train, goal = weights(spark, folder)
-    return fx.cosine_scores(goal, train).select("query_id", "id", F.round("sim", 6).alias("sim"))
+    return fx.cosine_scores(cut(goal), train).select("query_id", "id", F.round("sim", 6).alias("sim"))
 
 
 def topk_sql(k: int, ctes: str) -> str:

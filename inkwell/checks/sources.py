@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from inkwell.checks import ESSAYS, GRADED, query
-from inkwell.session import scratch_path
+from inkwell.session import Scope, cut, scratch_path
 from inkwell.sources import readers, sinks
 from inkwell.sources.tables import documents, essays, graded_scores, table, targets
 
@@ -94,12 +94,14 @@ def scan_dictionary(spark, folder):
     return readers.read_word_list(spark, path)
 
 
-@query("cache_dataset", f"WITH {ESSAYS} SELECT generated, count(*) AS n FROM essays GROUP BY generated")
+@query("cache_dataset", f"""WITH {ESSAYS} SELECT generated, count(*) AS n, (SELECT count(DISTINCT source) FROM essays)::BIGINT AS sources
+  FROM essays GROUP BY generated""")
 def cache_dataset(spark, folder):
-    from pyspark import StorageLevel
-
-    kept = essays(spark, folder).select("id", "generated").persist(StorageLevel.MEMORY_AND_DISK)
-    return kept.groupBy("generated").agg(F.count("*").alias("n"))
+    """A table kept while two counts read it, and let go with the scope; the few counts are written before."""
+    with Scope(spark) as scope:
+        kept = scope.keep(essays(spark, folder).select("id", "generated", "source"))
+        sources = kept.agg(F.count_distinct("source")).first()[0]
+        return cut(kept.groupBy("generated").agg(F.count("*").alias("n"), F.lit(sources).alias("sources")))
 
 
 @query("sink_submission_csv", f"WITH {GRADED} SELECT id, score_a AS generated FROM graded")

@@ -1,7 +1,7 @@
 """Learners over long-form weights ``(id, term, weight)`` and labels ``(id, label)``.
 
-Ridge, naive Bayes and the margin learner keep one row per term: coefficients are tables,
-never a vector on the driver. Boosted trees and the topic model use Spark ML.
+Ridge, naive Bayes, the margin learner and the topic model keep coefficients as tables of terms,
+never as a vector on the driver.
 """
 
 from __future__ import annotations
@@ -11,33 +11,23 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-import pandas as pd
-from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import (
-    CountVectorizer,
-    ElementwiseProduct,
-    IDF,
-    IndexToString,
-    Normalizer,
-    RegexTokenizer,
-    StringIndexer,
-)
-from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.ml.functions import predict_batch_udf
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkwell.functions.numeric import sigmoid
-from inkwell.functions.text import WORD_CLASS
-from inkwell.session import broadcast_if_small, cut, is_small
-
-# Settings of the two boosted-tree learners, under Spark ML's names.
-GBT_A = {"maxIter": 2500, "stepSize": 0.00581909898961407, "maxDepth": 23, "minInstancesPerNode": 115,
-         "featureSubsetStrategy": "0.78", "maxBins": 898}
-GBT_B = {"maxIter": 2000, "stepSize": 0.005599066836106983, "subsamplingRate": 0.4, "maxDepth": 6}
+from inkwell.functions.text import lower_words
+from inkwell.operators.blocks import TextTermBlocks, build_blocks, unpack_columns, unpack_terms
+from inkwell.operators.features import idf_table, term_counts, weigh
+from inkwell.operators.linear import minimize, modified_huber, ridge_solve, softmax
+from inkwell.operators.trees import TreeSettings, fit_trees, score_trees
+from inkwell.session import broadcast_if_small, cut
+
+# Settings of the two boosted-tree learners.
+GBT_A = TreeSettings(rounds=2500, rate=0.00581909898961407, depth=23, leaves=31, bins=898, least=115, l1=4.562963348932286, l2=2.97485,
+                     tree_columns=0.78, node_columns=0.8)
+GBT_B = TreeSettings(rounds=2000, rate=0.005599066836106983, depth=6, bins=254, l2=6.6591278779517808, rows=0.4, symmetric=True)
 # Weights of the four learners in the vote.
 VOTE_WEIGHTS = {"mnb": 0.068, "sgd": 0.31, "gbt_a": 0.31, "gbt_b": 0.312}
 
@@ -68,64 +58,26 @@ class TermModel:
         return ids.select(key).join(summed, key, "left").select(key, total.alias("decision"))
 
 
-def _rows_by_text(weights: DataFrame, labels: DataFrame, key: str) -> DataFrame:
-    """Weights with labels, each text whole in one partition and sorted, kept for many passes.
-
-    Sums per text then need no shuffle. The kept table is read from a checkpoint, so a lost
-    executor costs one partition.
-    """
-    rows = cut(weights.join(labels.select(key, F.col("label").cast("double").alias("label")), key))
-    return rows.repartition(key).sortWithinPartitions(key).persist(StorageLevel.MEMORY_AND_DISK)
+def _linear_inputs(weights: DataFrame, labels: DataFrame, key: str, blocks: TextTermBlocks | None) -> tuple[DataFrame, TextTermBlocks]:
+    known = cut(labels.select(key, F.col("label").cast("double").alias("label")))
+    return known, blocks or build_blocks(cut(weights.select(key, "term", "weight")), known.select(key), key)
 
 
 def ridge_fit(
-    weights: DataFrame, labels: DataFrame, alpha: float = 1.0, tol: float = 1e-4, max_iter: int = 10_000, key: str = "id"
-) -> TermModel:
-    """Ridge regression with a free intercept, by conjugate gradients over term tables.
+    weights: DataFrame, labels: DataFrame, alpha: float = 1.0, tol: float = 1e-4, max_iter: int = 10_000, key: str = "id",
+    start: TermModel | None = None, blocks: TextTermBlocks | None = None,
+) -> TermModel:
+    """Ridge regression with a free intercept, by conjugate gradients over blocks of texts and terms.
 
-    With ``m`` the column means, the centred system is ``X'X p - n m (m.p) + alpha p``. A pass
-    multiplies by ``X`` in a window over each text and by ``X'`` in one aggregate per term,
-    the only shuffle of the pass. Step sizes come from one row of sums.
+    The weights are dealt to blocks once; a pass moves vectors only. ``start`` is a model of similar
+    data, whose coefficients the passes begin from. ``blocks`` are those of the labelled texts, if at hand.
     """
-    n, mean_y = labels.agg(F.count("*"), F.avg("label")).first()
-    rows = _rows_by_text(weights, labels, key)
-    start = rows.groupBy("term").agg(
-        F.sum(F.col("weight") * (F.col("label") - F.lit(mean_y))).alias("r"), (F.sum("weight") / n).alias("m")
-    )
-    state = cut(start.select("term", F.lit(0.0).alias("w"), "r", F.col("r").alias("p"), "m"))
-    rr, mp = state.agg(F.sum(F.col("r") * F.col("r")), F.sum(F.col("m") * F.col("p"))).first()
-    small = is_small(state)
-    target = (rr or 0.0) * tol * tol
-    per_text = Window.partitionBy(key)
-    dot = lambda a, b: F.sum(F.col(a) * F.col(b))
-    for _ in range(max_iter if rr else 0):
-        direction = state.select("term", "p")
-        product = rows.join(F.broadcast(direction) if small else direction, "term")
-        if not small:
-            product = product.repartition(key)
-        product = product.withColumn("_q", F.sum(F.col("weight") * F.col("p")).over(per_text))
-        columns = product.groupBy("term").agg(F.sum(F.col("weight") * F.col("_q")).alias("_s"))
-        s = F.coalesce("_s", F.lit(0.0)) - F.col("m") * (n * mp) + alpha * F.col("p")
-        state = cut(state.join(columns, "term", "left").select("term", "w", "r", "p", "m", s.alias("s")))
-        ps, rs, ss, mr, ms = state.agg(dot("p", "s"), dot("r", "s"), dot("s", "s"), dot("m", "r"), dot("m", "s")).first()
-        step = rr / ps
-        rr_next = max(rr - 2 * step * rs + step * step * ss, 0.0)
-        beta = rr_next / rr
-        mp = (mr - step * ms) + beta * mp
-        r = F.col("r") - step * F.col("s")
-        state = state.select(
-            "term", (F.col("w") + step * F.col("p")).alias("w"), r.alias("r"), (r + beta * F.col("p")).alias("p"), "m"
-        )
-        rr = rr_next
-        if rr <= target:
-            break
-    else:
-        if rr:
-            raise RuntimeError(f"no fit within {max_iter} passes")
-    state = cut(state)
-    rows.unpersist()
-    mw = state.agg(dot("m", "w")).first()[0] or 0.0
-    return TermModel(state.select("term", F.col("w").alias("coef")), float((mean_y or 0.0) - mw))
+    known, held = _linear_inputs(weights, labels, key, blocks)
+    state, intercept, names = ridge_solve(held, known, alpha, tol, max_iter, None if start is None else start.coefficients)
+    coefficients = cut(unpack_terms(state, held.terms, names, ["w"]).withColumnRenamed("w", "coef"))
+    if blocks is None:
+        held.release()
+    return TermModel(coefficients, intercept)
 
 
 def ridge_score(
@@ -166,82 +118,23 @@ def naive_bayes_score(
     return model.decision(target, ids, key).select(key, sigmoid(F.col("decision")).alias("score"))
 
 
-def _huber_slope(margin: Column) -> Column:
-    """Derivative of the modified Huber loss by the margin."""
-    return F.when(margin >= 1, 0.0).when(margin >= -1, -2 * (1 - margin)).otherwise(-4.0)
-
-
-def _huber_loss(margin: Column) -> Column:
-    return F.when(margin >= 1, 0.0).when(margin >= -1, (1 - margin) * (1 - margin)).otherwise(-4 * margin)
-
-
 def modified_huber_fit(
-    weights: DataFrame, labels: DataFrame, l2: float = 1e-4, max_iter: int = 8_000, tol: float = 1e-4, patience: int = 5, key: str = "id"
-) -> TermModel:
-    """A linear margin model under the modified Huber loss, by accelerated gradient steps.
-
-    Rows of length 1 and an intercept bound the curvature by 4, so the step is 1/4. Texts
-    without any term pull at the intercept alone. The fit ends when the mean loss has not fallen by
-    ``tol`` below its best for ``patience`` passes, and fails if that takes more than ``max_iter``.
+    weights: DataFrame, labels: DataFrame, l2: float = 1e-4, max_iter: int = 8_000, tol: float = 1e-4, key: str = "id",
+    start: TermModel | None = None, blocks: TextTermBlocks | None = None,
+) -> TermModel:
+    """A linear margin model under the modified Huber loss, by quasi-Newton steps over blocks of texts and terms.
+
+    Ends when the gradient of the mean loss is no longer than ``tol``, or when three passes in a row lower the
+    loss by less than a tenth of ``tol``; fails if that takes more than ``max_iter`` passes. Texts without any
+    term pull at the intercept alone.
     """
-    signed = labels.select(key, (F.col("label") * 2.0 - 1).alias("label"))
-    rows = _rows_by_text(weights, signed, key)
-    n, positives = signed.agg(F.count("*"), F.count_if(F.col("label") > 0)).first()
-    filled = rows.select(key, "label").distinct().agg(F.count("*"), F.count_if(F.col("label") > 0)).first()
-    bare = {1.0: positives - filled[1], -1.0: (n - positives) - (filled[0] - filled[1])}
-    state = cut(rows.select("term").distinct().select("term", F.lit(0.0).alias("w"), F.lit(0.0).alias("v")))
-    small = is_small(state)
-    b = v_b = 0.0
-    momentum, step, best, waited = 1.0, 0.25, float("inf"), 0
-    per_text = Window.partitionBy(key)
-    for _ in range(max_iter):
-        ahead = state.select("term", "v")
-        scored = rows.join(F.broadcast(ahead) if small else ahead, "term")
-        if not small:
-            scored = scored.repartition(key)
-        decision = F.sum(F.col("weight") * F.col("v")).over(per_text) + F.lit(v_b)
-        slope = _huber_slope(F.col("label") * F.col("_f")) * F.col("label")
-        scored = scored.withColumn("_f", decision).withColumn("_g", slope)
-        # each text's slope once, for the intercept
-        nth = F.row_number().over(Window.partitionBy(key).orderBy(key))
-        loss = _huber_loss(F.col("label") * F.col("_f"))
-        scored = scored.withColumn("_first", nth == 1).withColumn("_once", F.when(F.col("_first"), F.col("_g")).otherwise(0.0))
-        scored = scored.withColumn("_loss", F.when(F.col("_first"), loss).otherwise(0.0))
-        slopes = scored.groupBy("term").agg(
-            (F.sum(F.col("weight") * F.col("_g")) / n).alias("_grad"), F.sum("_once").alias("_pull"), F.sum("_loss").alias("_loss")
-        )
-        state = cut(state.join(slopes, "term", "left").na.fill(0.0, ["_grad", "_pull", "_loss"]))
-        grad = F.col("_grad") + l2 * F.col("v")
-        pull, lost, size = state.agg(F.sum("_pull"), F.sum("_loss"), F.sum(F.col("v") * F.col("v"))).first()
-        pull, lost, size = pull or 0.0, lost or 0.0, size or 0.0
-        lost = (lost + sum(count * _bare_loss(sign, v_b) for sign, count in bare.items())) / n + l2 * size / 2
-        pull += sum(count * _bare_slope(sign, v_b) for sign, count in bare.items())
-        following = (1 + (1 + 4 * momentum * momentum) ** 0.5) / 2
-        keep = (momentum - 1) / following
-        w = F.col("v") - step * grad
-        state = state.select("term", w.alias("w"), (w + keep * (w - F.col("w"))).alias("v"))
-        new_b = v_b - step * pull / n
-        v_b, b = new_b + keep * (new_b - b), new_b
-        momentum = following
-        waited = 0 if lost < best - tol else waited + 1
-        best = min(best, lost)
-        if waited >= patience:
-            break
-    else:
-        raise RuntimeError(f"no fit within {max_iter} passes")
-    state = cut(state)
-    rows.unpersist()
-    return TermModel(state.select("term", F.col("w").alias("coef")), float(b))
-
-
-def _bare_loss(sign: float, intercept: float) -> float:
-    margin = sign * intercept
-    return 0.0 if margin >= 1 else (1 - margin) ** 2 if margin >= -1 else -4 * margin
-
-
-def _bare_slope(sign: float, intercept: float) -> float:
-    margin = sign * intercept
-    return sign * (0.0 if margin >= 1 else -2 * (1 - margin) if margin >= -1 else -4.0)
+    known, held = _linear_inputs(weights, labels, key, blocks)
+    begin = None if start is None else (start.coefficients.withColumnRenamed("coef", "c0"), [start.intercept])
+    state, bias, names = minimize(held, known, modified_huber, l2, tol, max_iter, start=begin, fall=tol / 10)
+    coefficients = cut(unpack_terms(state, held.terms, names, ["w"]).withColumnRenamed("w", "coef"))
+    if blocks is None:
+        held.release()
+    return TermModel(coefficients, float(bias[0]))
 
 
 def modified_huber_score(
@@ -253,79 +146,77 @@ def modified_huber_score(
     return decision.select(key, ((clipped + 1) / 2).alias("score"))
 
 
-def hashed_features(weights: DataFrame, ids: DataFrame, size: int, key: str = "id") -> DataFrame:
-    """``id, features``: a vector of ``size`` buckets per text, for tree learners.
+def gbt_score(train: DataFrame, labels: DataFrame, target: DataFrame, ids: DataFrame, settings: TreeSettings, key: str = "id") -> DataFrame:
+    """``id, score``: boosted trees over all terms."""
+    return score_trees(fit_trees(cut(train), labels, settings, key), cut(target), ids, key)
 
-    Every term counts: terms that share a bucket of the hash are added up.
-    """
 
-    @F.pandas_udf("array<double>")
-    def spread(places: pd.Series, values: pd.Series) -> pd.Series:
-        def fill(where, what):
-            row = np.zeros(size)
-            if where is not None:
-                row[where] = what
-            return row
+@dataclass(frozen=True)
+class TopicModel:
+    """Word weights and one linear score per category: ``term, idf, c0, c1..``, with intercepts and names in their order."""
 
-        return pd.Series([fill(i, v) for i, v in zip(places, values)])
+    terms: DataFrame
+    intercepts: list[float]
+    names: list[str]
 
-    bucket = F.pmod(F.xxhash64("term"), F.lit(size)).cast("int").alias("slot")
-    summed = weights.groupBy(key, bucket).agg(F.sum("weight").alias("weight"))
-    picked = summed.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("slot", "weight"))).alias("_w"))
-    joined = ids.select(key).join(picked, key, "left")
-    return joined.select(key, array_to_vector(spread(F.col("_w.slot"), F.col("_w.weight"))).alias("features"))
+    def save(self, path: str) -> None:
+        """Write the terms as Parquet, and under null terms one row per category."""
+        spark, width = self.terms.sparkSession, len(self.names)
+        rows = [(None, name, [b], i) for i, (name, b) in enumerate(zip(self.names, self.intercepts))]
+        heads = spark.createDataFrame(rows, "term string, name string, values array<double>, place int")
+        values = F.array("idf", *[f"c{k}" for k in range(width)]).alias("values")
+        terms = self.terms.select("term", F.lit(None).cast("string").alias("name"), values, F.lit(None).cast("int").alias("place"))
+        terms.unionByName(heads).write.mode("overwrite").parquet(path)
 
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> TopicModel:
+        rows = spark.read.parquet(path)
+        heads = rows.where("term IS NULL").orderBy("place").collect()  # one per category
+        columns = [F.col("values")[k + 1].alias(f"c{k}") for k in range(len(heads))]
+        terms = rows.where("term IS NOT NULL").select("term", F.col("values")[0].alias("idf"), *columns)
+        return cls(terms, [r["values"][0] for r in heads], [r["name"] for r in heads])
 
-def gbt_score(
-    train: DataFrame, labels: DataFrame, target: DataFrame, ids: DataFrame, settings: dict, size: int = 256, seed: int = 42,
-    key: str = "id",
-) -> DataFrame:
-    """``id, score``: boosted trees over all terms, hashed into ``size`` buckets.
 
-    Spark's trees have no l1, l2 and per-tree column share; those settings of the studied learners
-    have no counterpart here.
-    """
-    fitting = hashed_features(train, labels, size, key).join(labels.select(key, F.col("label").cast("double")), key)
-    model = GBTClassifier(seed=seed, labelCol="label", **settings).fit(fitting)
-    scored = model.transform(hashed_features(target, ids, size, key))
-    return scored.select(key, vector_to_array("probability")[1].alias("score"))
+def topic_words(texts: DataFrame, key: str, text: str) -> DataFrame:
+    return term_counts(texts.select(key, F.explode(lower_words(F.col(text))).alias("term")), key)
 
 
-def topic_fit(texts: DataFrame, category: str, text: str = "text", c: float = 1.0, max_iter: int = 1000) -> PipelineModel:
+def topic_fit(
+    texts: DataFrame, category: str, text: str = "text", c: float = 1.0, max_iter: int = 1000, tol: float = 1e-4, key: str = "id",
+    vocab_from: DataFrame | None = None,
+) -> TopicModel:
     """Word TF-IDF and multinomial logistic regression, text to category name.
 
-    The vocabulary holds every word of the training texts. Spark's idf lacks the final + 1,
-    so it is put in by an elementwise product.
+    Vocabulary and idf come from ``vocab_from`` (by default the texts themselves), so a model may be fitted on a part
+    whose weights the whole has set. Coefficients are a table with a column per category; categories must
+    be few enough to name. Stops by tolerance or raises. Texts of a null category only count for the idf.
     """
+    source = texts if vocab_from is None else vocab_from
+    counts = cut(topic_words(source, key, text))
+    idf = cut(idf_table(counts, source.agg(F.count("*")).scalar()))
     known = texts.where(F.col(category).isNotNull())
-    words = RegexTokenizer(inputCol=text, outputCol="_words", pattern=f"[{WORD_CLASS}]{{2,}}", gaps=False, toLowercase=True)
-    split = words.transform(known)
-    n, size = split.select(F.count("*")).first()[0], split.select(F.explode("_words")).distinct().count()
-    counter = CountVectorizer(inputCol="_words", outputCol="_counts", vocabSize=max(1, size)).fit(split)
-    counted = counter.transform(split)
-    idf = IDF(inputCol="_counts", outputCol="_idf").fit(counted).idf.toArray() + 1
-    scale = ElementwiseProduct(inputCol="_counts", outputCol="_weights", scalingVec=Vectors.dense(idf))
-    unit = Normalizer(inputCol="_weights", outputCol="_features")
-    index = StringIndexer(inputCol=category, outputCol="_label").fit(known)
-    learner = LogisticRegression(
-        featuresCol="_features", labelCol="_label", predictionCol="_class", family="multinomial", maxIter=max_iter,
-        regParam=1 / (c * n), standardization=False,
-    )
-    model = learner.fit(unit.transform(scale.transform(index.transform(counted))))
-    names = IndexToString(inputCol="_class", outputCol="predicted", labels=index.labels)
-    return PipelineModel([words, counter, scale, unit, model, names])
-
-
-def topic_predict(model: PipelineModel, texts: DataFrame, key: str = "id") -> DataFrame:
-    return model.transform(texts).select(key, F.col("predicted").alias("prompt_name"))
-
-
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    names = [r[0] for r in known.select(category).distinct().orderBy(category).collect()]
+    place = F.array_position(F.array(*map(F.lit, names)), F.col(category)) - 1
+    labels = cut(known.select(key, place.cast("double").alias("label")))
+    own = counts if vocab_from is None else topic_words(known, key, text)
+    blocks = build_blocks(cut(weigh(own.join(labels.select(key), key, "left_semi"), idf, False, key)), labels.select(key), key)
+    state, bias, parts = minimize(blocks, labels, softmax, 1 / (c * max(1, labels.count())), tol, max_iter, width=len(names), fall=tol / 100)
+    wide = unpack_columns(state, blocks.terms, parts, len(names))
+    terms = cut(idf.drop("df").join(wide, "term", "left").na.fill(0.0))
+    blocks.release()
+    return TopicModel(terms, bias.tolist(), names)
+
+
+def topic_predict(model: TopicModel, texts: DataFrame, key: str = "id", text: str = "text", name: str = "prompt_name") -> DataFrame:
+    """``id`` and the category of the largest score, the first name on a tie."""
+    width = len(model.names)
+    weights = weigh(topic_words(texts, key, text), model.terms.select("term", "idf"), False, key)
+    scores = [F.sum(F.col("weight") * F.col(f"c{k}")).alias(f"s{k}") for k in range(width)]
+    summed = weights.join(broadcast_if_small(model.terms.drop("idf")), "term").groupBy(key).agg(*scores)
+    joined = texts.select(key).join(summed, key, "left")
+    final = [F.round(F.coalesce(f"s{k}", F.lit(0.0)) + F.lit(b), 9) for k, b in enumerate(model.intercepts)]
+    best = F.array_position(F.array(*final), F.greatest(*final) if width > 1 else final[0])
+    return joined.select(key, F.element_at(F.array(*map(F.lit, model.names)), best.cast("int")).alias(name))
 
 
 def batch_score(

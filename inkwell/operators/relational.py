@@ -71,6 +71,18 @@ def assert_one_to_one(df: DataFrame, scores: DataFrame, key: str = "id") -> None
         raise ValueError(f"{key} is not matched one to one")
 
 
+def join_frequent(left: DataFrame, right: DataFrame, on: list[str], weight: str, how: str = "inner", share: int = 1_000) -> DataFrame:
+    """Inner or left join with a written table of one row per key, whose column ``weight`` counts the rows of ``left`` that hold it.
+
+    Keys of more than a ``share``-th of all these rows are fewer than ``share`` and are broadcast, so
+    that no frequent key meets in one task; all others are left to Spark.
+    """
+    total = right.agg(F.sum(weight)).first()[0] or 0
+    often = F.broadcast(right.where(F.col(weight) * share > total))
+    rest = left.join(often.select(*on), on, "left_anti").join(right.where(F.col(weight) * share <= total), on, how)
+    return left.join(often, on).unionByName(rest)
+
+
 def update_join(df: DataFrame, updates: DataFrame, key: str = "id") -> DataFrame:
     """Overwrite shared columns where the key matches and the new value is not null."""
     shared = [c for c in updates.columns if c != key and c in df.columns]

@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import regex_tokens, word_count
-from inkwell.session import broadcast_if_small, cut
+from inkwell.session import SMALL_MB, broadcast_if_small, cut, is_small
 
 MIN_TOKEN = 3
 MAX_SUBSTITUTIONS = 9
 WRONG_SHARE = 0.06
+FREQUENT_WORDS = 100_000
 
 
 def deletion_keys(word: Column) -> Column:
@@ -22,15 +23,17 @@ def deletion_keys(word: Column) -> Column:
     return F.array_distinct(F.concat(F.array(word), shorter))
 
 
-def edit_distance_join(tokens: DataFrame, dictionary: DataFrame) -> DataFrame:
+def edit_distance_join(tokens: DataFrame, dictionary: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """``token, word, freq, dist``: dictionary words within one edit of each distinct token.
 
+    ``keys`` are the written deletion keys of the dictionary, if several corpora are compared with it.
+
     Two words one edit apart share the form that lacks the edited character. A form is
     shared by no more words than there are characters to put back, so no key grows with the
     data. A token that is itself a word keeps that word only.
     """
     left = tokens.select("token").distinct().withColumn("key", F.explode(deletion_keys(F.col("token"))))
-    right = dictionary.select("word", "freq", F.explode(deletion_keys(F.col("word"))).alias("key"))
+    right = dictionary.select("word", "freq", F.explode(deletion_keys(F.col("word"))).alias("key")) if keys is None else keys
     near = left.join(right, "key").select("token", "word", "freq").distinct()
     near = near.withColumn("dist", F.levenshtein("token", "word", 1)).where("dist >= 0")
     exact = dictionary.select(F.col("word").alias("token"))
@@ -45,12 +48,26 @@ def substitution(token: Column, word: Column) -> Column:
     return F.when((F.length(token) == F.length(word)) & (token != word), pair)
 
 
-def unknown_tokens(texts: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """``id, token, times``: tokens of three characters or more that are no dictionary word."""
+def unknown_tokens(texts: DataFrame, dictionary: DataFrame, small_mb: int = SMALL_MB) -> DataFrame:
+    """``id, token, times``: tokens of three characters or more that are no dictionary word.
+
+    A dictionary proved small is broadcast. For a larger one the most frequent words, which most
+    occurrences hold, are broadcast, what is left is counted per text, and only these counts meet the
+    rest of the words.
+    """
     tokens = texts.select("id", F.explode(regex_tokens(F.col("text"))).alias("token"))
     tokens = tokens.where(F.length("token") >= MIN_TOKEN)
-    words = broadcast_if_small(dictionary.select(F.col("word").alias("token")))
-    return tokens.join(words, "token", "left_anti").groupBy("id", "token").agg(F.count("*").alias("times"))
+    counted = lambda df: df.groupBy("id", "token").agg(F.count("*").alias("times"))
+    words = dictionary.select(F.col("word").alias("token"))
+    if is_small(words, small_mb):
+        return counted(tokens.join(F.broadcast(words), "token", "left_anti"))
+    often = F.broadcast(dictionary.orderBy(F.desc("freq"), "word").limit(FREQUENT_WORDS).select(F.col("word").alias("token")))
+    return counted(tokens.join(often, "token", "left_anti")).join(words, "token", "left_anti").select("id", "token", "times")
+
+
+def dictionary_keys(dictionary: DataFrame) -> DataFrame:
+    """``key, word, freq``: the deletion keys of the dictionary, written once for all texts it is used on."""
+    return cut(dictionary.select("word", "freq", F.explode(deletion_keys(F.col("word"))).alias("key")))
 
 
 def substitution_argmax(unknown: DataFrame, near: DataFrame) -> DataFrame:
@@ -90,13 +107,13 @@ def _first_word() -> Column:
     return F.min(F.struct((-F.col("freq")).alias("low"), "word"))["word"].alias("word")
 
 
-def corrections(texts: DataFrame, dictionary: DataFrame) -> DataFrame:
+def corrections(texts: DataFrame, dictionary: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """``id, token, word`` for every token of a text that is to be replaced.
 
     The unknown tokens and their neighbours are written once, as all later steps use them.
     """
     unknown = cut(unknown_tokens(texts, dictionary))
-    near = cut(edit_distance_join(unknown, dictionary))
+    near = cut(edit_distance_join(unknown, dictionary, keys))
     first = near.groupBy("token").agg(_first_word())
     wrong = unknown.join(first, "token")
     lengths = texts.select("id", word_count(F.col("text")).alias("n_words"))
@@ -107,13 +124,13 @@ def corrections(texts: DataFrame, dictionary: DataFrame) -> DataFrame:
     return wrong.join(better, ["id", "token"], "left").select("id", "token", F.coalesce("better", "word").alias("word"))
 
 
-def spell_repair(texts: DataFrame, dictionary: DataFrame) -> DataFrame:
+def spell_repair(texts: DataFrame, dictionary: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """``texts`` with repaired text: known tokens stay, wrong ones are replaced.
 
     Only wrong tokens are shuffled. They come back as one small map per text, and each
     text is put together again inside its row.
     """
-    fixes = corrections(texts, dictionary)
+    fixes = corrections(texts, dictionary, keys)
     per_text = fixes.groupBy("id").agg(F.map_from_entries(F.collect_set(F.struct("token", "word"))).alias("_fixes"))
     joined = texts.join(per_text, "id", "left")
     tokens = regex_tokens(F.col("text"))

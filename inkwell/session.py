@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +70,53 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{name}-{os.urandom(6).hex()}")
 
 
+def hold(df: DataFrame, parts: int, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` to ``parts`` partitions and kept, computed now, so that joins on these keys know where its rows are."""
+    held = df.repartition(parts, *keys).persist(StorageLevel.MEMORY_AND_DISK)
+    held.count()
+    return held
+
+
+class Scope:
+    """Owns kept and written tables and removes them at its end.
+
+    ``with Scope(spark) as scope:`` a table given to ``keep`` is computed once however often it is read inside;
+    one given to ``write`` is written once to the shared checkpoint folder. At the end kept tables leave
+    memory and written ones the folder, so results must have been written or collected by then.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.kept: list[DataFrame] = []
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scope:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for df in self.kept:
+            df.unpersist()
+        for path in self.paths:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+        self.kept, self.paths = [], []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df`` in memory, and on the executors' disks where memory is short."""
+        self.kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return self.kept[-1]
+
+    def path(self, name: str) -> str:
+        """A new path under the shared checkpoint folder that goes with the scope."""
+        self.paths.append(scratch_path(self.spark, name))
+        return self.paths[-1]
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.path(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
 def row_bytes(df: DataFrame) -> Column:
     """About how many bytes a row takes in memory."""
     total = F.lit(16)

@@ -9,14 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.sources.schemas import struct_type
+from inkwell.sources.split_csv import read_split_csv
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: str | None = None, sep: str = ",") -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str | Sequence[str], schema: str | None = None, sep: str = ",", whole_files: bool = False
+) -> DataFrame:
     """A headed CSV table; quoted fields may hold line breaks and doubled quotes.
 
     With ``schema`` (a DDL string) the header must carry the same names in the same order.
-    Without it the types are inferred in an extra pass over the file.
+    Without it the types are inferred in an extra pass over the file. A file is read by as many tasks as it
+    has splits; ``whole_files`` reads each in one task, as files with quotes inside unquoted fields need.
     """
+    if not whole_files:
+        return read_split_csv(spark, path, None if schema is None else struct_type(schema), sep)
     reader = spark.read.options(header=True, multiLine=True, quote='"', escape='"', sep=sep)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
