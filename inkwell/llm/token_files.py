@@ -41,7 +41,6 @@ READ_TASKS = 4096
 PART_BYTES = 1 << 25
 MAX_PARTS = 1 << 14
 SAMPLE = 64
-MEMO = 200_000
 
 
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
@@ -234,8 +233,6 @@ def encode_ids(docs: DataFrame, bounds: list[tuple], vocab_size: int, end: int |
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens = ByteTokens()
         for batch in batches:
-            if len(tokens.memo) > MEMO:
-                tokens.memo.clear()
             found = tokens.encode_all([t if isinstance(t, str) else "" for t in batch["text"]])
             docs = [None if pd.isna(i) else int(i) for i in batch["doc_id"]]
             yield pd.DataFrame({
