@@ -19,13 +19,16 @@ from inkwell.operators.aggregates import top_n_categories
 from inkwell.operators.relational import union_all
 from inkwell.operators.sampling import stratified_kfold, train_test_split
 from inkwell.plans.rank_ensemble import rank_ensemble as ranked
-from inkwell.plans.scored_run import scored_run
+from inkwell.plans.scored_run import RunSettings, scored_run
 from inkwell.plans.self_training import Corpora, self_training, weak_refine
 from inkwell.session import cut, scratch_path, spread
 from inkwell.sources.readers import words_by_frequency
 from inkwell.sources.tables import documents, essays, labelled_scores, table, targets
 
 SEED = 42
+#: The runs of several fits learn fewer subwords, stop earlier and take two rounds; row counts are the full ones.
+SUBWORDS, LOOSE = 320, 1e-2
+RUN = {"rounds": 2, "vocab_size": SUBWORDS, "tol": LOOSE}
 
 
 def training_rows(spark, folder):
@@ -284,7 +287,7 @@ def encoder_scores(spark, folder):
 
 @query("self_training_loop")
 def self_training_loop(spark, folder):
-    scores, _ = self_training(corpora(spark, folder), encoder_scores(spark, folder))
+    scores, _ = self_training(corpora(spark, folder), encoder_scores(spark, folder), **RUN)
     return scores.select("id", F.round("score", 6).alias("score"))
 
 
@@ -292,7 +295,7 @@ def self_training_loop(spark, folder):
 def weak(spark, folder):
     encoder = encoder_scores(spark, folder)
     start = encoder.select("id", F.round(1 - F.col("score"), 9).alias("score"))
-    refined = weak_refine(corpora(spark, folder), start, encoder)
+    refined = weak_refine(corpora(spark, folder), start, encoder, vocab_size=SUBWORDS, tol=LOOSE)
     return refined.select("id", F.round("score", 6).alias("score"))
 
 
@@ -312,26 +315,21 @@ def run_inputs(spark, folder):
     }
 
 
-def scored(spark, folder):
-    """The whole run; the encoder that learns from the pseudo-labelled rows is a stand-in that flips their scores."""
+@query("scored_run", "SELECT item_id AS id, 1 AS n, true AS within FROM benchmark")
+def scored_run_targets(spark, folder):
+    """Every target has one score of the whole run, between 0 and 1.
+
+    The encoder that learns from the pseudo-labelled rows is a stand-in that moves their scores.
+    """
 
     def feedback(train, picked, target):
         heard = picked.groupBy("id").agg(F.max("label").alias("heard"))
         base = hash_int(SEED, F.col("id"), "feedback") / float(2**32)
         return target.join(heard, "id", "left").select("id", F.coalesce(F.col("heard") * 0.5 + base * 0.5, base).alias("score"))
 
-    return scored_run(**run_inputs(spark, folder), feedback=feedback, folder=scratch_path(spark, "scored-run"))
-
-
-@query("scored_run")
-def scored_run_scores(spark, folder):
-    return scored(spark, folder).select("id", F.round("generated", 6).alias("generated"))
-
-
-@query("scored_run_targets", "SELECT item_id AS id, 1 AS n, true AS within FROM benchmark")
-def scored_run_targets(spark, folder):
-    """Every target has one score of the whole run, between 0 and 1."""
-    out = scored(spark, folder)
+    out = scored_run(
+        **run_inputs(spark, folder), feedback=feedback, folder=scratch_path(spark, "scored-run"), settings=RunSettings(**RUN)
+    )
     return out.groupBy("id").agg(F.count("*").cast("int").alias("n"), F.bool_and(F.col("generated").between(0, 1)).alias("within"))
 
 
@@ -341,7 +339,7 @@ def rank_ensemble(spark, folder):
     goal = targets(spark, folder)
     encoders = [goal.select("id", F.lit(m).alias("model"), (hash_int(SEED, F.col("id"), m) / float(2**32)).alias("score")) for m in "ab"]
     blended = ranked(
-        training_rows(spark, folder), goal, union_all(*encoders),
+        training_rows(spark, folder), goal, union_all(*encoders), vocab_size=SUBWORDS,
         gbt_a=replace(ln.GBT_A, rounds=TREE_ROUNDS), gbt_b=replace(ln.GBT_B, rounds=TREE_ROUNDS),
     )
     return blended.select("id", F.round("generated", 6).alias("generated"))

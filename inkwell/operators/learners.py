@@ -189,7 +189,7 @@ def topic_fit(
 
     Vocabulary and idf come from ``vocab_from`` (by default the texts themselves), so a model may be fitted on a part
     whose weights the whole has set. Coefficients are a table with a column per category; categories must
-    be few enough to name. Stops by tolerance or raises. Texts of a null category only count for the idf.
+    be few enough to name. Stops as the margin learner does, or raises. Texts of a null category only count for the idf.
     """
     source = texts if vocab_from is None else vocab_from
     counts = cut(topic_words(source, key, text))
@@ -200,7 +200,7 @@ def topic_fit(
     labels = cut(known.select(key, place.cast("double").alias("label")))
     own = counts if vocab_from is None else topic_words(known, key, text)
     blocks = build_blocks(cut(weigh(own.join(labels.select(key), key, "left_semi"), idf, False, key)), labels.select(key), key)
-    state, bias, parts = minimize(blocks, labels, softmax, 1 / (c * max(1, labels.count())), tol, max_iter, width=len(names), fall=tol / 100)
+    state, bias, parts = minimize(blocks, labels, softmax, 1 / (c * max(1, labels.count())), tol, max_iter, width=len(names), memory=4, fall=tol / 10)
     wide = unpack_columns(state, blocks.terms, parts, len(names))
     terms = cut(idf.drop("df").join(wide, "term", "left").na.fill(0.0))
     blocks.release()
