@@ -11,7 +11,9 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-from pyspark.ml.functions import predict_batch_udf
+import pandas as pd
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,10 +26,14 @@ from inkwell.operators.linear import minimize, modified_huber, ridge_solve, soft
 from inkwell.operators.trees import TreeSettings, fit_trees, score_trees
 from inkwell.session import broadcast_if_small, cut
 
-# Settings of the two boosted-tree learners.
-GBT_A = TreeSettings(rounds=2500, rate=0.00581909898961407, depth=23, leaves=31, bins=898, least=115, l1=4.562963348932286, l2=2.97485,
+# Settings of the two boosted-tree learners, under Spark ML's names.
+GBT_A = {"maxIter": 2500, "stepSize": 0.00581909898961407, "maxDepth": 23, "minInstancesPerNode": 115,
+         "featureSubsetStrategy": "0.78", "maxBins": 898}
+GBT_B = {"maxIter": 2000, "stepSize": 0.005599066836106983, "subsamplingRate": 0.4, "maxDepth": 6}
+# The same settings whole, for trees by histograms.
+TREES_A = TreeSettings(rounds=2500, rate=0.00581909898961407, depth=23, leaves=31, bins=898, least=115, l1=4.562963348932286, l2=2.97485,
                      tree_columns=0.78, node_columns=0.8)
-GBT_B = TreeSettings(rounds=2000, rate=0.005599066836106983, depth=6, bins=254, l2=6.6591278779517808, rows=0.4, symmetric=True)
+TREES_B = TreeSettings(rounds=2000, rate=0.005599066836106983, depth=6, bins=254, l2=6.6591278779517808, rows=0.4, symmetric=True)
 # Weights of the four learners in the vote.
 VOTE_WEIGHTS = {"mnb": 0.068, "sgd": 0.31, "gbt_a": 0.31, "gbt_b": 0.312}
 
@@ -125,12 +131,12 @@ def modified_huber_fit(
     """A linear margin model under the modified Huber loss, by quasi-Newton steps over blocks of texts and terms.
 
     Ends when the gradient of the mean loss is no longer than ``tol``, or when three passes in a row lower the
-    loss by less than a tenth of ``tol``; fails if that takes more than ``max_iter`` passes. Texts without any
+    loss by less than ``tol``; fails if that takes more than ``max_iter`` passes. Texts without any
     term pull at the intercept alone.
     """
     known, held = _linear_inputs(weights, labels, key, blocks)
     begin = None if start is None else (start.coefficients.withColumnRenamed("coef", "c0"), [start.intercept])
-    state, bias, names = minimize(held, known, modified_huber, l2, tol, max_iter, start=begin, fall=tol / 10)
+    state, bias, names = minimize(held, known, modified_huber, l2, tol, max_iter, start=begin, fall=tol)
     coefficients = cut(unpack_terms(state, held.terms, names, ["w"]).withColumnRenamed("w", "coef"))
     if blocks is None:
         held.release()
@@ -146,7 +152,44 @@ def modified_huber_score(
     return decision.select(key, ((clipped + 1) / 2).alias("score"))
 
 
-def gbt_score(train: DataFrame, labels: DataFrame, target: DataFrame, ids: DataFrame, settings: TreeSettings, key: str = "id") -> DataFrame:
+def hashed_features(weights: DataFrame, ids: DataFrame, size: int, key: str = "id") -> DataFrame:
+    """``id, features``: a vector of ``size`` buckets per text, for tree learners.
+
+    Every term counts: terms that share a bucket of the hash are added up.
+    """
+
+    @F.pandas_udf("array<double>")
+    def spread(places: pd.Series, values: pd.Series) -> pd.Series:
+        def fill(where, what):
+            row = np.zeros(size)
+            if where is not None:
+                row[where] = what
+            return row
+
+        return pd.Series([fill(i, v) for i, v in zip(places, values)])
+
+    bucket = F.pmod(F.xxhash64("term"), F.lit(size)).cast("int").alias("slot")
+    summed = weights.groupBy(key, bucket).agg(F.sum("weight").alias("weight"))
+    picked = summed.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("slot", "weight"))).alias("_w"))
+    joined = ids.select(key).join(picked, key, "left")
+    return joined.select(key, array_to_vector(spread(F.col("_w.slot"), F.col("_w.weight"))).alias("features"))
+
+
+def gbt_score(
+    train: DataFrame, labels: DataFrame, target: DataFrame, ids: DataFrame, settings: dict, size: int = 256, seed: int = 42,
+    key: str = "id",
+) -> DataFrame:
+    """``id, score``: boosted trees over all terms, hashed into ``size`` buckets.
+
+    Spark's trees have no l1, l2 and per-tree column share; ``histogram_score`` has.
+    """
+    fitting = hashed_features(train, labels, size, key).join(labels.select(key, F.col("label").cast("double")), key)
+    model = GBTClassifier(seed=seed, labelCol="label", **settings).fit(fitting)
+    scored = model.transform(hashed_features(target, ids, size, key))
+    return scored.select(key, vector_to_array("probability")[1].alias("score"))
+
+
+def histogram_score(train: DataFrame, labels: DataFrame, target: DataFrame, ids: DataFrame, settings: TreeSettings, key: str = "id") -> DataFrame:
     """``id, score``: boosted trees over all terms."""
     return score_trees(fit_trees(cut(train), labels, settings, key), cut(target), ids, key)
 
@@ -200,7 +243,7 @@ def topic_fit(
     labels = cut(known.select(key, place.cast("double").alias("label")))
     own = counts if vocab_from is None else topic_words(known, key, text)
     blocks = build_blocks(cut(weigh(own.join(labels.select(key), key, "left_semi"), idf, False, key)), labels.select(key), key)
-    state, bias, parts = minimize(blocks, labels, softmax, 1 / (c * max(1, labels.count())), tol, max_iter, width=len(names), memory=4, fall=tol / 10)
+    state, bias, parts = minimize(blocks, labels, softmax, 1 / (c * max(1, labels.count())), tol, max_iter, width=len(names), memory=4, fall=tol)
     wide = unpack_columns(state, blocks.terms, parts, len(names))
     terms = cut(idf.drop("df").join(wide, "term", "left").na.fill(0.0))
     blocks.release()
