@@ -1,11 +1,14 @@
 """Toxicity by weak supervision: many voters, a generative label model, a linear classifier.
 
-Voters are lexicons and patterns. One lexicon is given; the others hold words and word beginnings
-that labelled rows of the learning part show to be signs of the label, cut in groups so that voters
-err apart. A generative model with class balance, an accuracy per voter and class, and a damping for
-pairs of voters that agree beyond what the classes explain, is fitted to the counts of all vote
-patterns of the corpus by expectation maximisation. Its posterior labels a bounded sample, on which
-a linear classifier over hashed words and word beginnings is trained; the classifier scores all rows.
+Voters are lexicons and patterns. One lexicon is given, and so are two patterns: an insult next to a
+word of address, and runs of exclamation or question marks. The other lexicons hold words and word
+beginnings that labelled rows of the learning part show to be signs of the label, cut in groups so
+that voters err apart. Signs are counted by their hash in 2**22 places, so that tallies and lexicons
+have one size for any corpus and every sign that passes the test is kept. A generative model with
+class balance, an accuracy per voter and class, and a damping for pairs of voters that agree beyond
+what the classes explain, is fitted to the counts of all vote patterns of the corpus by expectation
+maximisation. Its posterior labels a bounded sample, on which a linear classifier over hashed words
+and word beginnings is trained; the classifier scores all rows.
 """
 
 from __future__ import annotations
@@ -13,12 +16,12 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.llm.common import small_batches, written
@@ -32,55 +35,135 @@ INSULTS = [
     "idiota", "imbécil", "estúpido", "estúpida", "escoria", "basura", "asqueroso", "asquerosa", "payaso", "perdedor", "inútil", "cabrón",
 ]
 
+#: Words that turn to a reader, in the same languages.
+ADDRESS = frozenset(["you", "your", "u", "du", "dich", "dein", "ihr", "tu", "toi", "ton", "vous", "te", "eres", "usted", "ustedes"])
+
 WORD = re.compile(r"[^\W\d_]+")
+SHOUT = re.compile(r"[!?]{2}")
 PREFIXES = (4, 5, 6)
+NEAR = 3
 GROUPS = 6
+VOTERS = GROUPS + 5
 BITS = 18
+SIGN_BITS = 22
 MEMO = 200_000
+RUN = 1 << 20
 THRESHOLD = 0.7
 
+INSULT_SET = frozenset(INSULTS)
+
+
+def word_list(text: str) -> list[str]:
+    return WORD.findall(unicodedata.normalize("NFC", text).lower())
+
+
+def addressed(words: list[str]) -> bool:
+    """Whether an insult stands within ``NEAR`` words of a word of address."""
+    last, insult = -NEAR - 1, -NEAR - 1
+    for i, word in enumerate(words):
+        if word in ADDRESS:
+            last = i
+        elif word in INSULT_SET:
+            insult = i
+        else:
+            continue
+        if abs(last - insult) <= NEAR and min(last, insult) >= 0:
+            return True
+    return False
+
+
+class Words(dict):
+    """Numbers of words, given as they are met, and the hashes of each word's signs.
 
-def words_of(text: str) -> set[str]:
-    return set(WORD.findall(unicodedata.normalize("NFC", text).lower()))
+    Signs are the word, marked ``=``, and its beginnings, marked ``<``; short words repeat the first hash.
+    """
 
+    def __init__(self):
+        super().__init__()
+        self.signs: list[tuple[int, ...]] = []
+        self.insults: list[bool] = []
 
-def signs_of(words: set[str]) -> set[str]:
-    """Words, marked ``=``, and their beginnings, marked ``<``."""
-    out = {"=" + w for w in words}
-    for n in PREFIXES:
-        out.update("<" + w[:n] for w in words if len(w) >= n)
-    return out
+    def __missing__(self, word: str) -> int:
+        own = zlib.crc32(b"=" + word.encode("utf-8", "surrogatepass"))
+        beginnings = (zlib.crc32(b"<" + word[:n].encode("utf-8", "surrogatepass")) if len(word) >= n else own for n in PREFIXES)
+        self.signs.append((own, *beginnings))
+        self.insults.append(word in INSULT_SET)
+        number = len(self)
+        self[word] = number
+        return number
 
 
 class Reader:
-    """Hashed signs and votes of texts; what a word gives is worked out once and kept in a bounded memory."""
-
-    def __init__(self, lexicons: list[frozenset[str]]):
-        self.lexicons = lexicons
-        self.memo: dict[str, tuple[tuple[int, ...], int, bool]] = {}
-
-    def word(self, word: str) -> tuple[tuple[int, ...], int, bool]:
-        found = self.memo.get(word)
-        if found is None:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            own = signs_of({word})
-            places = tuple(zlib.crc32(s.encode("utf-8", "surrogatepass")) & ((1 << BITS) - 1) for s in own)
-            hits = sum(1 << k for k, group in enumerate(self.lexicons) if not own.isdisjoint(group))
-            found = self.memo[word] = places, hits, word in INSULT_SET
-        return found
-
-    def read(self, text: str) -> tuple[np.ndarray, tuple[int, ...]]:
-        """Distinct places of the hashed signs, and the votes."""
-        places, hits, insults = [], 0, 0
-        for word in words_of(text):
-            own, flags, insult = self.word(word)
-            places.extend(own)
-            hits |= flags
-            insults += insult
-        lexicon = [hits >> k & 1 for k in range(len(self.lexicons))]
-        votes = (int(insults > 0), int(insults > 1), *lexicon, int(sum(lexicon) > 1))
-        return np.unique(np.array(places, dtype=np.int64)), votes
+    """Hashed signs and votes of runs of texts; what a word gives is worked out once and kept in a bounded memory."""
+
+    def __init__(self, lexicon: np.ndarray | None = None):
+        self.groups = np.zeros(1 << SIGN_BITS, dtype=np.uint8)
+        if lexicon is not None and len(lexicon):
+            self.groups[lexicon] = 1 << (lexicon % GROUPS)
+        self.forget()
+
+    def forget(self) -> None:
+        self.words = Words()
+        self.signs, self.hits, self.insults = np.zeros((0, 4), np.int64), np.zeros(0, np.uint8), np.zeros(0, bool)
+
+    def learn(self) -> None:
+        """Bring the tables up to the words met so far."""
+        new = np.array(self.words.signs[len(self.signs) :], dtype=np.int64).reshape(-1, 4)
+        if len(new):
+            self.insults = np.append(self.insults, self.words.insults[len(self.signs) :])
+            self.signs = np.concatenate([self.signs, new])
+            self.hits = np.append(self.hits, np.bitwise_or.reduce(self.groups[new & ((1 << SIGN_BITS) - 1)], axis=1))
+
+    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each distinct word of each text the text's place and the word's number; and the votes, a row a text."""
+        if len(self.words) > MEMO:
+            self.forget()
+        number, found, sizes = self.words.__getitem__, [], []
+        for text in texts:
+            before = len(found)
+            found.extend(map(number, set(word_list(text))))
+            sizes.append(len(found) - before)
+        self.learn()
+        words, rows = np.array(found, dtype=np.int64), np.repeat(np.arange(len(texts)), sizes)
+        votes = np.zeros((len(texts), VOTERS), dtype=np.int64)
+        insults = np.bincount(rows[self.insults[words]], minlength=len(texts))
+        votes[:, 0], votes[:, 1] = insults > 0, insults > 1
+        for i in np.flatnonzero(insults):
+            votes[i, 2] = addressed(word_list(texts[i]))
+        votes[:, 3] = [SHOUT.search(text) is not None for text in texts]
+        for k in range(GROUPS):
+            votes[rows[(self.hits[words] >> k & 1).astype(bool)], 4 + k] = 1
+        votes[:, -1] = votes[:, 4:-1].sum(axis=1) > 1
+        return rows, words, votes
+
+    def places(self, rows: np.ndarray, words: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct hashed signs of each text: its place among the texts and the sign's."""
+        keys = np.sort((np.repeat(rows, 4) << bits) | (self.signs[words].ravel() & ((1 << bits) - 1)))
+        keys = keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+        return keys >> bits, keys & ((1 << bits) - 1)
+
+
+def runs(texts: Iterable[str | None]) -> Iterator[tuple[int, list[str]]]:
+    """Consecutive texts of about ``RUN`` characters (one text at least), with the first one's place; null is empty."""
+    first, held, size = 0, [], 0
+    for i, text in enumerate(texts):
+        text = text if isinstance(text, str) else ""
+        if held and size + len(text) > RUN:
+            yield first, held
+            first, held, size = i, [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield first, held
+
+
+def pattern_of(votes: np.ndarray) -> np.ndarray:
+    """Each row of votes as the bits of a number."""
+    return votes @ (1 << np.arange(VOTERS))
+
+
+def votes_of(patterns: np.ndarray) -> np.ndarray:
+    return (np.asarray(patterns, dtype=np.int64)[:, None] >> np.arange(VOTERS) & 1).astype(float)
 
 
 @dataclass
@@ -132,36 +215,43 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, known: tuple[np.nd
 
 @dataclass
 class ToxicityModel:
-    lexicons: list[frozenset[str]] = field(default_factory=list)
+    lexicon: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
     labels: LabelModel | None = None
     weights: np.ndarray | None = None
 
-    def score(self, text: str, reader: Reader) -> float:
-        signs, votes = reader.read(text)
-        x, value = row_of(signs, np.array(votes))
-        return float(1 / (1 + np.exp(-np.clip(self.weights[x] @ value, -50, 50))))
-
-
-INSULT_SET = frozenset(INSULTS)
+    def score(self, texts: list[str], reader: Reader) -> np.ndarray:
+        rows, words, votes = reader.read(texts)
+        at, place = reader.places(rows, words, BITS)
+        n = np.bincount(at, minlength=len(texts))
+        signs = np.bincount(at, weights=self.weights[place], minlength=len(texts)) / np.sqrt(n + 1)
+        total = signs + votes @ self.weights[1 << BITS : -1] + self.weights[-1]
+        return 1 / (1 + np.exp(-np.clip(total, -50, 50)))
 
 
 def sign_counts(rows: DataFrame) -> DataFrame:
-    """``sign, marked, plain``: in how many rows of each label a sign stands; partial sums leave the map tasks."""
+    """``place, marked, plain``: in how many rows of each label a hashed sign stands; a task hands on one sum per place."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader, tally = Reader(), np.zeros((2, 1 << SIGN_BITS), dtype=np.int32)
         for batch in batches:
-            tally: dict[str, list[int]] = {}
-            for text, label in zip(batch["text"], batch["label"]):
-                for sign in signs_of(words_of(text)):
-                    tally.setdefault(sign, [0, 0])[int(label)] += 1
-            yield pd.DataFrame({"sign": list(tally), "marked": [t[1] for t in tally.values()], "plain": [t[0] for t in tally.values()]})
+            labels = batch["label"].to_numpy(np.int64)
+            for first, texts in runs(batch["text"]):
+                rows, words, _ = reader.read(texts)
+                at, place = reader.places(rows, words, SIGN_BITS)
+                for label in (0, 1):
+                    own = place[labels[first + at] == label]
+                    tally[label] += np.bincount(own, minlength=1 << SIGN_BITS).astype(np.int32)
+        found = np.flatnonzero(tally.any(axis=0))
+        for part in range(0, len(found), 100_000):
+            at = found[part : part + 100_000]
+            yield pd.DataFrame({"place": at, "marked": tally[1, at].astype(np.int64), "plain": tally[0, at].astype(np.int64)})
 
-    pieces = rows.select("text", "label").mapInPandas(run, "sign string, marked long, plain long")
-    return pieces.groupBy("sign").agg(F.sum("marked").alias("marked"), F.sum("plain").alias("plain"))
+    pieces = rows.select("text", "label").mapInPandas(run, "place long, marked long, plain long")
+    return pieces.groupBy("place").agg(F.sum("marked").alias("marked"), F.sum("plain").alias("plain"))
 
 
-def learn_lexicons(rows: DataFrame, prior: float, size: int, precision: float, doubt: float = 0.01) -> list[frozenset[str]]:
-    """The ``size`` most frequent signs of the label, dealt over lexicons.
+def learn_lexicon(rows: DataFrame, prior: float, precision: float, doubt: float = 0.01) -> np.ndarray:
+    """The places of all signs of the label, at most 2**22; the voter of a place is its remainder by the groups.
 
     A sign must be marked in ``precision`` of its rows, by more than chance can explain for as many
     signs as were looked at: rows x divergence from the prior >= log(signs / ``doubt``).
@@ -172,11 +262,7 @@ def learn_lexicons(rows: DataFrame, prior: float, size: int, precision: float, d
     share = F.col("marked") / n
     lift = share * F.log(share / prior) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - prior))).otherwise(0.0)
     good = counts.where((share >= precision) & (n * lift >= float(np.log(max(tested, 1) / doubt))))
-    best = good.orderBy(F.desc("marked"), "sign").limit(size).collect()
-    groups: list[set[str]] = [set() for _ in range(GROUPS)]
-    for row in best:
-        groups[zlib.crc32(row["sign"].encode()) % GROUPS].add(row["sign"])
-    return [frozenset(g) for g in groups]
+    return np.sort(good.select("place").toPandas()["place"].to_numpy(np.int64))
 
 
 def fit_linear(features: list[np.ndarray], votes: np.ndarray, target: np.ndarray, rounds: int = 10, rate: float = 0.3) -> np.ndarray:
@@ -206,68 +292,90 @@ def row_of(signs: np.ndarray, votes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.concatenate([signs, cast]), np.append(np.full(len(signs), 1 / np.sqrt(len(signs) + 1)), np.ones(len(cast)))
 
 
+def learnable(id_col: Column) -> Column:
+    """Whether a row may be learned from: crc32 of the id modulo 3 is not 1."""
+    return F.pmod(F.crc32(id_col.cast("string")), F.lit(3)) != 1
+
+
 def labelled(docs: DataFrame, labels: DataFrame, label_col: str) -> DataFrame:
-    """``doc_id, text, label`` of the labelled rows that may be learned from: crc32 of the id modulo 3 is not 1."""
-    known = labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
-    known = known.where(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) != 1)
-    known = known.groupBy("doc_id").agg(F.max(label_col).cast("int").alias("label"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    # a text that many rows repeat is one example
-    return rows.join(known, "doc_id").withColumn("text_hash", F.xxhash64("text")).dropDuplicates(["text_hash", "label"])
+    """``doc_id, text, text_hash, label`` of the labelled rows that may be learned from; a text that many rows repeat is one example.
+
+    Copies are merged by id and digest, so that texts move once; both joins shuffle at every size,
+    as the labels grow with the documents.
+    """
+    known = labels.where(F.col(label_col).isNotNull() & learnable(F.col("doc_id")))
+    known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label_col).cast("int").alias("label"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where(learnable(F.col("doc_id")))
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    found = rows.select("doc_id", "text_hash").join(known.hint("merge"), "doc_id")
+    found = found.groupBy("text_hash", "label").agg(F.min("doc_id").alias("doc_id"))
+    return rows.join(found.hint("merge"), ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash", "label"])
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = 4000, lexicon_size: int = 2000, precision: float = 0.95) -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = 4000, precision: float = 0.95) -> ToxicityModel:
     """Learn the voters, the label model and the classifier.
 
-    ``lexicon_size`` bounds the learned lexicons; ``sample`` bounds the rows the linear classifier is
-    fitted on: labelled rows of the learning part, up to half of them posterior positives, taken by a
-    hash of the id. Sign counts and vote patterns cover all rows.
+    ``sample`` bounds the rows the linear classifier is fitted on: labelled rows of the learning
+    part, up to half of them posterior positives, taken by a hash of the id. Sign counts cover all
+    labelled rows of that part, vote patterns all rows. Null texts are empty, rows with a null id or
+    label teach nothing but their votes, of several labels of an id the larger holds, equal texts of
+    one label are one example. Without labelled rows the voters are those given.
     """
     small_batches(docs.sparkSession)
     known = written(labelled(docs, labels, "toxic"), "toxic-labelled")
     first = known.agg(F.avg("label").alias("share")).first()
     prior = float(np.clip(first["share"] or 0.05, 0.005, 0.5))
-    model = ToxicityModel(lexicons=learn_lexicons(known, prior, lexicon_size, precision))
+    model = ToxicityModel(lexicon=learn_lexicon(known, prior, precision))
+    lexicon = model.lexicon
 
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader(model.lexicons)
+        reader, tally = Reader(lexicon), np.zeros(1 << VOTERS, dtype=np.int64)
         for batch in batches:
-            found = ["".join(map(str, reader.read(t if isinstance(t, str) else "")[1])) for t in batch["text"]]
-            tally = pd.Series(found).value_counts()
-            yield pd.DataFrame({"votes": tally.index, "n": tally.to_numpy(np.int64)})
+            for _, texts in runs(batch["text"]):
+                tally += np.bincount(pattern_of(reader.read(texts)[2]), minlength=1 << VOTERS)
+        found = np.flatnonzero(tally)
+        yield pd.DataFrame({"pattern": found.astype(np.int32), "n": tally[found]})
 
-    def vote_by_label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def vote_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = Reader(lexicon)
         for batch in batches:
-            for label, part in batch.groupby("label"):
-                for tally in vote([part]):
-                    yield tally.assign(label=label)[["label", "votes", "n"]]
-
-    votes = docs.select("text").mapInPandas(vote, "votes string, n long").groupBy("votes").agg(F.sum("n").alias("n")).collect()
-    patterns = np.array([[int(c) for c in r["votes"]] for r in votes], dtype=float).reshape(len(votes), GROUPS + 3)
-    counts = np.array([r["n"] for r in votes], dtype=float)
-    own = known.mapInPandas(vote_by_label, "label int, votes string, n long").groupBy("label", "votes").agg(F.sum("n").alias("n")).collect()
-    rows, marked = np.zeros(2), np.zeros((GROUPS + 3, 2))
-    for r in own:
-        rows[r["label"]] += r["n"]
-        marked[:, r["label"]] += r["n"] * np.array([int(c) for c in r["votes"]])
-    model.labels = fit_label_model(patterns, counts, (rows, marked))
-
-    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader(model.lexicons)
+            for first, texts in runs(batch["text"]):
+                own = batch.iloc[first : first + len(texts)]
+                yield own[["doc_id", "text_hash", "label"]].assign(pattern=pattern_of(reader.read(texts)[2]).astype(np.int32))
+
+    found = docs.select("text").mapInPandas(vote, "pattern int, n long").groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").toPandas()
+    own = written(known.mapInPandas(vote_rows, "doc_id long, text_hash long, label int, pattern int"), "toxic-votes")
+    tally = own.groupBy("label", "pattern").count().orderBy("label", "pattern").toPandas()
+    rows, marked = np.zeros(2), np.zeros((VOTERS, 2))
+    for label in (0, 1):
+        part = tally[tally["label"] == label]
+        rows[label] = part["count"].sum()
+        marked[:, label] = votes_of(part["pattern"].to_numpy()).T @ part["count"].to_numpy(float)
+    model.labels = fit_label_model(votes_of(found["pattern"].to_numpy()), found["n"].to_numpy(float), (rows, marked))
+
+    # at most 2**VOTERS patterns have a posterior; features are worked out for the chosen rows alone
+    seen = np.unique(tally["pattern"].to_numpy(np.int64))
+    targets = dict(zip(seen.tolist(), model.labels.posterior(votes_of(seen)).tolist()))
+    surely = F.col("pattern").isin([k for k, p in targets.items() if p >= 0.5])
+    order = F.xxhash64("doc_id"), F.col("doc_id"), F.col("text_hash"), F.col("label")
+    picked = [own.where(side).orderBy(*order).limit(sample // 2) for side in (surely, ~surely)]
+    chosen = written(picked[0].union(picked[1]), "toxic-sample")
+    texts = known.join(F.broadcast(chosen), ["doc_id", "text_hash", "label"])
+
+    def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = Reader(lexicon)
         for batch in batches:
-            read = [reader.read(t) for t in batch["text"]]
-            posterior = model.labels.posterior(np.array([v for _, v in read], dtype=float).reshape(-1, GROUPS + 3))
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "target": posterior,
-                "slots": [x for x, _ in read], "votes": [list(v) for _, v in read],
-            })
-
-    order = F.xxhash64("doc_id"), F.col("doc_id")
-    marked = written(known.mapInPandas(learn, "doc_id long, target double, slots array<long>, votes array<long>"), "toxic-features")
-    rows = [r for side in (F.col("target") >= 0.5, F.col("target") < 0.5) for r in marked.where(side).orderBy(*order).limit(sample // 2).toLocalIterator()]
-    features = [np.array(r["slots"], dtype=np.int64) for r in rows]
-    cast = np.array([r["votes"] for r in rows], dtype=float).reshape(-1, GROUPS + 3)
-    model.weights = fit_linear(features, cast, np.array([r["target"] for r in rows]))
+            for first, texts in runs(batch["text"]):
+                rows, words, votes = reader.read(texts)
+                at, place = reader.places(rows, words, BITS)
+                own = batch.iloc[first : first + len(texts)]
+                slots = np.split(place.astype(np.int32), np.cumsum(np.bincount(at, minlength=len(texts)))[:-1])
+                yield own[["doc_id", "text_hash", "label", "pattern"]].assign(slots=slots)
+
+    schema = "doc_id long, text_hash long, label int, pattern int, slots array<int>"
+    taken = texts.mapInPandas(features, schema).orderBy(*order).toPandas()
+    target = np.array([targets[p] for p in taken["pattern"]])
+    model.weights = fit_linear([np.asarray(x, dtype=np.int64) for x in taken["slots"]], votes_of(taken["pattern"].to_numpy()), target)
     return model
 
 
@@ -278,15 +386,15 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     are replaced; an empty table gives no rows.
     """
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(([sorted(g) for g in model.lexicons], model.weights))
+    shared = docs.sparkSession.sparkContext.broadcast((model.lexicon, model.weights))
 
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        lexicons, weights = shared.value
-        own = ToxicityModel(lexicons=[frozenset(g) for g in lexicons], weights=weights)
-        reader = Reader(own.lexicons)
+        lexicon, weights = shared.value
+        own, reader = ToxicityModel(lexicon=lexicon, weights=weights), Reader(lexicon)
         for texts in parts:
-            yield pd.Series([own.score(t if isinstance(t, str) else "", reader) for t in texts], dtype=float)
+            found = [own.score(run, reader) for _, run in runs(texts)]
+            yield pd.Series(np.concatenate(found) if found else np.zeros(0), dtype=float)
 
-    out = docs.withColumn("held_out", F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1, F.lit(False)))
+    out = docs.withColumn("held_out", F.coalesce(~learnable(F.col("doc_id")), F.lit(False)))
     out = out.withColumn("score", F.pandas_udf(score, "double")(F.col("text")))
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
