@@ -78,11 +78,47 @@ def layout(text: str, words: list[str], lang: str | None, source: str | None) ->
     return np.append(np.arange(NUMBERS), np.unique(hashed)), np.append(np.array(numbers), np.ones(len(set(hashed))))
 
 
+@dataclass
+class Sparse:
+    """Rows that are zero in most places: the row, place and value of each other entry."""
+
+    row: np.ndarray
+    at: np.ndarray
+    values: np.ndarray
+    shape: tuple[int, int]
+
+    @staticmethod
+    def of(rows: list[tuple[np.ndarray, np.ndarray]], width: int) -> Sparse:
+        row = np.repeat(np.arange(len(rows)), [len(places) for places, _ in rows])
+        at = np.concatenate([np.zeros(0, np.int64), *(places for places, _ in rows)]).astype(np.int64)
+        return Sparse(row, at, np.concatenate([np.zeros(0), *(values for _, values in rows)]), (len(rows), width))
+
+    def __len__(self) -> int:
+        return self.shape[0]
+
+    def __getitem__(self, rows: np.ndarray) -> Sparse:
+        place = np.full(len(self), -1)
+        place[rows] = np.arange(len(rows))
+        keep = place[self.row] >= 0
+        return Sparse(place[self.row[keep]], self.at[keep], self.values[keep], (len(rows), self.shape[1]))
+
+    def __matmul__(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, weights=self.values * weights[self.at], minlength=len(self))
+
+    def back(self, weights: np.ndarray, power: int = 1) -> np.ndarray:
+        """Sums over the rows of each place's values (to ``power``), rows weighted."""
+        return np.bincount(self.at, weights=self.values**power * weights[self.row], minlength=self.shape[1])
+
+
+def back(x: Sparse | np.ndarray, weights: np.ndarray, power: int = 1) -> np.ndarray:
+    return x.back(weights, power) if isinstance(x, Sparse) else weights @ (x if power == 1 else x**power)
+
+
 @dataclass
 class View:
-    """Logistic regression over sparse rows; columns are centred and scaled by the training rows.
+    """Logistic regression over sparse or dense rows; columns are centred and scaled by the training rows.
 
-    The first ``numbers`` columns also enter as the quantile interval of the training rows they fall in.
+    Mean and scale are folded into the weights, so the rows are never copied. The first ``numbers`` columns also enter as the quantile interval of the training rows they fall in.
     """
 
     width: int
@@ -94,37 +130,44 @@ class View:
     slope: float = 1.0
     shift: float = 0.0
 
-    def dense(self, rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    def table(self, rows: list[tuple[np.ndarray, np.ndarray]]) -> Sparse | np.ndarray:
+        """The rows as a table: dense if there are numbers to cut into intervals."""
+        if not self.numbers:
+            return Sparse.of(rows, self.width)
         out = np.zeros((len(rows), self.width))
         for i, (places, values) in enumerate(rows):
             out[i, places] = values
         return out
 
-    def widen(self, x: np.ndarray) -> np.ndarray:
+    def widen(self, x: Sparse | np.ndarray) -> Sparse | np.ndarray:
         if not self.numbers:
             return x
         parts = [np.eye(CUTS + 1)[np.searchsorted(self.edges[:, k], x[:, k], side="right")] for k in range(self.numbers)]
         return np.column_stack([x, *parts])
 
-    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 200, l2: float = 1e-3) -> None:
+    def fit(self, x: Sparse | np.ndarray, y: np.ndarray, steps: int = 200, l2: float = 1e-3) -> None:
         if self.numbers:
             self.edges = np.quantile(x[:, : self.numbers], np.linspace(0, 1, CUTS + 2)[1:-1], axis=0)
         x = self.widen(x)
-        self.mean, self.scale = x.mean(axis=0), x.std(axis=0)
+        rows = np.ones(len(x))
+        self.mean = back(x, rows) / len(x)
+        self.scale = np.sqrt(np.maximum(back(x, rows, 2) / len(x) - self.mean**2, 0.0))
         self.scale[self.scale < 1e-9] = np.inf
-        z = np.column_stack([(x - self.mean) / np.maximum(self.scale, 0.02), np.ones(len(x))])
+        by = np.maximum(self.scale, 0.02)
         weight = np.where(y > 0.5, 0.5 / max(y.mean(), 1e-3), 0.5 / max(1 - y.mean(), 1e-3)) / len(y)
-        w, push, squares = np.zeros(z.shape[1]), np.zeros(z.shape[1]), np.zeros(z.shape[1])
+        w, push, squares = (np.zeros(len(by) + 1) for _ in range(3))
         for step in range(1, steps + 1):
-            p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-            g = z.T @ ((p - y) * weight) + l2 * w
+            u = w[:-1] / by
+            p = 1 / (1 + np.exp(-np.clip(x @ u + (w[-1] - self.mean @ u), -30, 30)))
+            r = (p - y) * weight
+            g = np.append((back(x, r) - self.mean * r.sum()) / by, r.sum()) + l2 * w
             push, squares = 0.9 * push + 0.1 * g, 0.99 * squares + 0.01 * g * g
             w -= 0.1 * (push / (1 - 0.9**step)) / (np.sqrt(squares / (1 - 0.99**step)) + 1e-8)
         self.weights = w
 
-    def odds(self, x: np.ndarray) -> np.ndarray:
-        z = (self.widen(x) - self.mean) / np.maximum(self.scale, 0.02)
-        return np.clip(z @ self.weights[:-1] + self.weights[-1], -30, 30)
+    def odds(self, x: Sparse | np.ndarray) -> np.ndarray:
+        u = self.weights[:-1] / np.maximum(self.scale, 0.02)
+        return np.clip(self.widen(x) @ u + (self.weights[-1] - self.mean @ u), -30, 30)
 
     def calibrate(self, odds: np.ndarray, y: np.ndarray) -> None:
         """Slope and shift that make the odds fit the labels (Platt), held near 1 and 0: damped Newton steps."""
@@ -153,7 +196,7 @@ class QualityModel:
     layout: View
     prior: float = 0.0
 
-    def score(self, content: np.ndarray, layout: np.ndarray) -> np.ndarray:
+    def score(self, content: Sparse, layout: np.ndarray) -> np.ndarray:
         """Both calibrated log-odds added up as views that err apart, the log-odds of the labels counted once."""
         total = sum(v.slope * v.odds(x) + v.shift for v, x in ((self.content, content), (self.layout, layout)))
         return 1 / (1 + np.exp(-np.clip(total - self.prior, -30, 30)))
@@ -168,7 +211,7 @@ def view_rows(texts: list[str], langs: list, sources: list, shapes: Shapes) -> t
     return content, layouts
 
 
-def co_train(content: np.ndarray, layouts: np.ndarray, y: np.ndarray, prior: float, rounds: int = 4, share: float = 0.1) -> QualityModel:
+def co_train(content: Sparse, layouts: np.ndarray, y: np.ndarray, prior: float, rounds: int = 4, share: float = 0.1) -> QualityModel:
     """``y``: 1, 0, or NaN for unlabelled rows. A quarter of the labelled rows is kept for calibration.
 
     ``prior`` is the share of label 1 among all labelled rows; the sample may have another.
@@ -186,7 +229,7 @@ def co_train(content: np.ndarray, layouts: np.ndarray, y: np.ndarray, prior: flo
         constant = float(np.nanmean(y)) if len(known) else 1.0
         for view in (model.content, model.layout):
             view.edges = np.zeros((CUTS, NUMBERS))
-            width = view.widen(np.zeros((1, view.width))).shape[1]
+            width = view.width + view.numbers * (CUTS + 1)
             view.mean, view.scale, view.weights = np.zeros(width), np.ones(width), np.zeros(width + 1)
             view.weights[-1] = np.log((constant + 1e-3) / (1 - constant + 1e-3))
         model.prior = float(model.layout.weights[-1])
@@ -224,19 +267,30 @@ def column_or_null(df: DataFrame, name: str) -> Column:
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000, pool: int = 4000) -> QualityModel:
     """Co-train on a bounded sample: at most ``sample`` labelled rows of the learning part (crc32 of the
     id modulo 3 is not 1), half of each label where there are enough, and ``pool`` unlabelled ones,
-    both taken by a hash of the id."""
+    both taken by a hash of the id.
+
+    Texts that many rows repeat stand for one row of a part, that of the smallest id; rows that repeat
+    an id and its text count once. Null texts are empty, rows with a null id are not learned from, of
+    several labels of an id the larger holds. With labels of one kind or none the score is constant.
+    """
     small_batches(docs.sparkSession)
-    known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").cast("double").alias("label"))
-    rows = docs.select("doc_id", "text", column_or_null(docs, "lang").alias("lang"), column_or_null(docs, "source").alias("source"))
-    rows = rows.where("doc_id is not null").join(known, "doc_id", "left").withColumn("order", F.xxhash64("doc_id"))
+    known = labels.where("quality is not null and doc_id is not null")
+    known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("double").alias("label"))
+    texts = docs.where("doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+        column_or_null(docs, "lang").alias("lang"), column_or_null(docs, "source").alias("source"))
+    texts = texts.withColumn("text_hash", F.xxhash64("text"))
     held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1
+    rows = texts.select("doc_id", "text_hash").join(known, "doc_id", "left")
     rows = rows.withColumn("part", F.when(F.col("label").isNull() | held, 2).otherwise(F.col("label").cast("int")))
-    rows = rows.withColumn("label", F.when(F.col("part") < 2, F.col("label")))
-    ids = rows.select("doc_id", "part", "order", "label")
-    picked = [ids.where(F.col("part") == p).orderBy("order", "doc_id").limit(n) for p, n in ((0, sample // 2), (1, sample // 2), (2, pool))]
+    ids = rows.groupBy("text_hash", "part").agg(F.min("doc_id").alias("doc_id"))
+    ids = ids.withColumn("label", F.when(F.col("part") < 2, F.col("part").cast("double"))).withColumn("order", F.xxhash64("doc_id"))
+    by = "order", "doc_id", "text_hash"
+    picked = [ids.where(F.col("part") == p).orderBy(*by).limit(n) for p, n in ((0, sample // 2), (1, sample // 2), (2, pool))]
     chosen = written(picked[0].union(picked[1]).union(picked[2]), "quality-sample")
-    taken = docs.select("doc_id", "text", column_or_null(docs, "lang").alias("lang"), column_or_null(docs, "source").alias("source"))
-    taken = taken.join(F.broadcast(chosen), "doc_id")
+    # sample + pool rows, at most
+    taken = texts.join(F.broadcast(chosen), ["doc_id", "text_hash"])
+    taken = taken.groupBy("doc_id", "text_hash", "part", "label", "order").agg(*(F.min(c).alias(c) for c in ("text", "lang", "source")))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shapes = Shapes()
@@ -244,15 +298,15 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000, pool: in
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
             content, layouts = view_rows(texts, list(batch["lang"]), list(batch["source"]), shapes)
             yield pd.DataFrame({
-                "order": batch["order"], "label": batch["label"],
+                "order": batch["order"], "part": batch["part"], "text_hash": batch["text_hash"], "label": batch["label"],
                 "c_at": [c[0] for c in content], "c": [c[1] for c in content], "l_at": [x[0] for x in layouts], "l": [x[1] for x in layouts],
             })
 
-    schema = "order long, label double, c_at array<long>, c array<double>, l_at array<long>, l array<double>"
-    found = written(taken.mapInPandas(features, schema), "quality-features").orderBy("order").toPandas()
+    schema = "order long, part int, text_hash long, label double, c_at array<long>, c array<double>, l_at array<long>, l array<double>"
+    found = written(taken.mapInPandas(features, schema), "quality-features").orderBy("order", "part", "text_hash").toPandas()
     model = QualityModel(View(BINS), View(NUMBERS + HASHED, NUMBERS))
-    content = model.content.dense(list(zip(found["c_at"], found["c"])))
-    layouts = model.layout.dense(list(zip(found["l_at"], found["l"])))
+    content = model.content.table(list(zip(found["c_at"], found["c"])))
+    layouts = model.layout.table(list(zip(found["l_at"], found["l"])))
     share = rows.where("part < 2").agg(F.avg("label").alias("share")).first()["share"]
     prior = float(np.clip(0.5 if share is None else share, 1e-3, 1 - 1e-3))
     return co_train(content, layouts, found["label"].to_numpy(float), prior)
@@ -271,7 +325,7 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
         shapes = Shapes()
         for texts, langs, sources in parts:
             content, layouts = view_rows([t if isinstance(t, str) else "" for t in texts], list(langs), list(sources), shapes)
-            yield pd.Series(model.score(model.content.dense(content), model.layout.dense(layouts)), dtype=float)
+            yield pd.Series(model.score(model.content.table(content), model.layout.table(layouts)), dtype=float)
 
     scored = F.pandas_udf(score, "double")(F.col("text"), column_or_null(docs, "lang"), column_or_null(docs, "source"))
     return docs.withColumn("score", scored).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
