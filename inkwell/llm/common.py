@@ -38,6 +38,12 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Each name with as many underscores at its end as it takes to differ from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    return [next(n for n in (name + "_" * k for k in range(len(taken) + 1)) if n.lower() not in taken) for name in names]
+
+
 def lookup(df: DataFrame, row_bytes: int, limit_mb: int = BROADCAST_MB) -> DataFrame:
     """Mark a written table for broadcast if its counted rows fit ``limit_mb``; else Spark joins by shuffle."""
     return F.broadcast(df) if df.count() * row_bytes <= limit_mb << 20 else df

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import WORDS, mix, slices, small_batches, stream, word_hashes, written
+from inkwell.llm.common import WORDS, free_names, mix, slices, small_batches, stream, word_hashes, written
 
 SHINGLE = 5
 DEPTH = 4
@@ -273,12 +273,16 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
-    """``docs`` with one row of each group of near copies: that of the smallest id. Rows without words are kept; repeated rows are one."""
+    """``docs`` with one row of each group of near copies: that of the smallest id. Rows without words are kept; repeated rows are one.
+
+    All columns of ``docs`` stay as they are, whatever their names.
+    """
     out = grouped_rows(docs, id_col, text_col, percent)
     stay = out.where(F.col("node").isNull() | F.col("first")).select("doc_key", "text_hash").distinct()
-    keyed = docs.withColumn("doc_key", F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))).withColumn("text_hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    kept = keyed.join(written(stay, "kept"), ["doc_key", "text_hash"], "left_semi")
-    return kept.dropDuplicates(["doc_key", "text_hash"]).select(*docs.columns)
+    key, digest = free_names(docs, "doc_key", "text_hash")
+    keyed = docs.withColumn(key, F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))).withColumn(digest, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    stay = written(stay, "kept").select(F.col("doc_key").alias(key), F.col("text_hash").alias(digest))
+    return keyed.join(stay, [key, digest], "left_semi").dropDuplicates([key, digest]).select(*docs.columns)
 
 
 def grouped_rows(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import small_batches, written
+from inkwell.llm.common import free_names, small_batches, written
 
 CAPACITY = 1024
 END = 2
@@ -256,14 +256,16 @@ def pack(pieces: DataFrame, length_col: str, key_cols: list[str], capacity: int
 
     Ranks within a length come from counts per length and salt and a row number inside each, so a
     length that a third of all pieces share is spread over many tasks. Rows of a null or other length
-    have no place and get nulls; repeated rows are packed one by one; an empty table gives no rows.
+    have no place and get nulls; repeated rows are packed one by one; an empty table gives no rows. Columns ``sequence_id``
+    and ``offset`` are replaced, all others stay.
     """
+    salt, number, spot = free_names(pieces, "pack_salt", "pack_number", "pack_place")
     length, fits = F.col(length_col), F.col(length_col).between(1, capacity)
-    salted = pieces.withColumn("pack_salt", F.pmod(F.xxhash64(*key_cols), F.lit(SALTS)).cast("int"))
-    tally = salted.where(fits).groupBy(length.alias("length"), "pack_salt").count().collect()
+    salted = pieces.withColumn(salt, F.pmod(F.xxhash64(*key_cols), F.lit(SALTS)).cast("int"))
+    tally = salted.where(fits).groupBy(length.alias("length"), F.col(salt).alias("salt")).count().collect()
     counts = np.zeros((capacity + 1, SALTS), dtype=np.int64)
     for row in tally:
-        counts[row["length"], row["pack_salt"]] = row["count"]
+        counts[row["length"], row["salt"]] = row["count"]
     segments = rank_segments(plan_sequences(counts.sum(axis=1), capacity, rounds), capacity)
     firsts = np.cumsum(counts, axis=1) - counts
     keys = segments[:, 0] * (1 << 44) + segments[:, 1]
@@ -282,10 +284,11 @@ def pack(pieces: DataFrame, length_col: str, key_cols: list[str], capacity: int
             "offset": pd.Series(found[:, 4], dtype="Int64").where(ok),
         })
 
-    order = Window.partitionBy(length_col, "pack_salt").orderBy(*key_cols)
-    numbered = salted.withColumn("pack_number", F.row_number().over(order))
-    places = F.pandas_udf(place, "sequence_id long, offset long")(length, F.col("pack_salt"), F.col("pack_number"))
-    return numbered.withColumn("pack_place", places).select(*pieces.columns, "pack_place.*")
+    order = Window.partitionBy(length_col, salt).orderBy(*key_cols)
+    numbered = salted.withColumn(number, F.row_number().over(order))
+    places = F.pandas_udf(place, "sequence_id long, offset long")(length, F.col(salt), F.col(number))
+    own = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    return numbered.withColumn(spot, places).select(*own, f"{spot}.*")
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:

@@ -56,8 +56,7 @@ def op5_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 #: Scores are rounded before they are ranked, so sums in another order give the same rows.
 OP5_SQL = r"""WITH words AS (
-    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
-]+')) AS term
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')) AS term
     FROM documents),
   tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
   len AS (SELECT doc_id, count(*) AS dl FROM words GROUP BY doc_id),
@@ -159,7 +158,8 @@ OP13_SQL = r"""WITH own AS (
   rebuilt AS (SELECT c.conv_id, coalesce(b.s[1:h], []) || c.s[h + 1:] AS s FROM headed c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20),
   members AS (SELECT conv_id, d, s[1:d] AS k, len(s) = d AS ends FROM (SELECT *, unnest(range(len(s) + 1)) AS d FROM rebuilt)),
   nodes AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ids,
-      (count(*) - 1) * coalesce(any_value(len(regexp_extract_all(k[d].text, '[^ 	-]+'))), 0) AS saved FROM members GROUP BY k, d),
+      (count(*) - 1) * coalesce(any_value(len(regexp_extract_all(k[d].text, '[^ 	-
+]+'))), 0) AS saved FROM members GROUP BY k, d),
   children AS (SELECT k[1:d - 1] AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
   below AS (SELECT u.k[1:u.a] AS k, sum(saved)::BIGINT AS saved, count(*) FILTER (WHERE c.n IS NULL) AS leaves
     FROM (SELECT *, unnest(range(d + 1)) AS a FROM nodes) u LEFT JOIN children c ON c.k = u.k GROUP BY ALL)

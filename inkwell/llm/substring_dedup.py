@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import OTHER, WORDS, slices, small_batches, word_hashes, word_places, written
+from inkwell.llm.common import OTHER, WORDS, free_names, slices, small_batches, word_hashes, word_places, written
 
 WINDOW = 35
 ANCHOR = 8
@@ -164,16 +164,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text or another; windows are judged on the input. ``kept`` joins the words left by one blank;
     with ``tidy`` a text that loses nothing stays as it is and others keep their own white space. A
     null text has no words. Null ids and repeated rows are allowed (copies lose everything); an
-    empty table gives no rows; columns ``kept``, ``n_words``, ``n_removed`` are replaced.
+    empty table gives no rows; columns ``kept``, ``n_words``, ``n_removed`` are replaced,
+    all others stay.
     """
     small_batches(docs.sparkSession)
-    keyed = docs.withColumn("doc_key", F.coalesce(F.col(id_col).cast("long"), F.lit(-1)))
-    keyed = keyed.withColumn("text_hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    texts = keyed.select("doc_key", "text_hash", F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    key, digest, own_spans, cut_result = free_names(docs, "doc_key", "text_hash", "spans", "cut_result")
+    keyed = docs.withColumn(key, F.coalesce(F.col(id_col).cast("long"), F.lit(-1)))
+    keyed = keyed.withColumn(digest, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    texts = keyed.select(F.col(key).alias("doc_key"), F.col(digest).alias("text_hash"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     spans = repeated_spans(texts, window)
     marks = spans.groupBy("doc_key", "text_hash").agg(F.collect_set(F.struct("start", "windows")).alias("spans"))
     marks = written(marks, "spans")
-    marked = keyed.join(marks, ["doc_key", "text_hash"], "left")
+    marks = marks.select(F.col("doc_key").alias(key), F.col("text_hash").alias(digest), F.col("spans").alias(own_spans))
+    marked = keyed.join(marks, [key, digest], "left")
 
     def cut(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, spans in parts:
@@ -199,9 +202,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 rows.append((kept.decode("utf-8", "surrogatepass"), n, int(gone.sum())))
             yield pd.DataFrame(rows, columns=["kept", "n_words", "n_removed"])
 
-    result = F.pandas_udf(cut, "kept string, n_words long, n_removed long")(F.col(text_col), F.col("spans"))
+    result = F.pandas_udf(cut, "kept string, n_words long, n_removed long")(F.col(text_col), F.col(own_spans))
     own = [c for c in docs.columns if c not in ("kept", "n_words", "n_removed")]
-    return marked.withColumn("cut_result", result).select(*own, "cut_result.*")
+    return marked.withColumn(cut_result, result).select(*own, f"{cut_result}.*")
 
 
 def words(data: bytes) -> list[bytes]:

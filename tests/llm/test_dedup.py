@@ -40,11 +40,14 @@ def test_windows_against_brute_force(spark, frame):
             if counts[tuple(w[s : s + 35])] > 1:
                 gone[s : s + 35] = [True] * 35
         want.append((i, len(w), sum(gone), " ".join(x for x, g in zip(w, gone) if not g)))
-    clash = frame([(i, t, "c") for i, t in rows], "doc_id long, text string, spans string")
+    clash = frame([(i, t, "c", "d", 1, 2, 3) for i, t in rows], "doc_id long, text string, spans string, cut_result string, doc_key int, text_hash int, n_words int")
     out = substring_dedup.remove_repeats(frame(rows)).collect()
     assert sorted(map(str, ((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in out))) == sorted(map(str, want))
     assert sum(w[2] for w in want) > 1000
-    assert substring_dedup.remove_repeats(clash.withColumnRenamed("spans", "kept")).count() == len(rows)
+    own = substring_dedup.remove_repeats(clash).collect()
+    assert sorted(map(str, ((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in own))) == sorted(map(str, want))
+    assert {(r["spans"], r["cut_result"], r["doc_key"], r["text_hash"]) for r in own} == {("c", "d", 1, 2)}
+    assert substring_dedup.remove_repeats(frame([(1, "a", "b")], "doc_id long, text string, kept string")).collect()[0]["kept"] == "a"
     assert substring_dedup.remove_repeats(frame([])).count() == 0
 
 
@@ -120,3 +123,11 @@ def test_cells_of_a_crowded_region_are_bounded_and_hold_every_pair(spark, monkey
         pairs |= {frozenset((a, b)) for a in asking for b in others}
     names = [a for a, _ in rows]
     assert all(frozenset((names[i], names[j])) in pairs for i in range(n) for j in range(max(i + 1, 40), n))
+
+
+def test_columns_of_the_caller_stay(frame):
+    rows = [(1, "a b c d e f", 7, 8, "x"), (2, "a b c d e f", 7, 8, "y"), (3, "g h i j k", 9, 9, "z"), (None, None, None, None, None)]
+    clash = frame(rows, "doc_id long, text string, doc_key int, text_hash int, node string")
+    out = near_dedup.drop_near_copies(clash)
+    assert out.columns == clash.columns
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, [rows[0], *rows[2:]]))

@@ -80,3 +80,21 @@ def test_plan_is_as_good_as_plain_best_fit():
             else:
                 bins[fit] -= size
         assert sum(n for _, n in groups) <= len(bins) * 1.005
+
+
+def test_packing_keeps_the_columns_of_the_caller(frame):
+    rows = [(i, 300 + i % 5, "a", i, "b", -1, -1) for i in range(40)] + [(40, None, None, None, None, None, None), (41, 2000, "c", 1, "d", -1, -1)]
+    schema = "key long, length int, pack_salt string, pack_number int, pack_place string, sequence_id int, offset int"
+    out = {r["key"]: r for r in packing.pack(frame(rows, schema), "length", ["key"]).collect()}
+    assert len(out) == len(rows)
+    for row in rows:
+        own = out[row[0]]
+        assert (own["key"], own["length"], own["pack_salt"], own["pack_number"], own["pack_place"]) == row[:5]
+    assert out[40]["sequence_id"] is None and out[41]["offset"] is None
+    placed = {}
+    for i in range(40):
+        placed.setdefault(out[i]["sequence_id"], []).append((out[i]["offset"], out[i]["length"]))
+    for held in placed.values():
+        held.sort()
+        assert [at for at, _ in held] == [sum(n for _, n in held[:k]) for k in range(len(held))]
+        assert sum(n for _, n in held) <= 1024

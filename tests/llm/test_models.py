@@ -90,3 +90,46 @@ def test_content_reads_a_long_word_to_its_end():
     assert view(start + "x" * 300 + "!") != view(start + "x" * 300)
     assert view("one " + start + "9") == view("one " + start + " 9")
     assert view("") == [[], []]
+
+
+@pytest.mark.parametrize("bits", [toxicity.BITS, toxicity.SIGN_BITS])
+def test_places_are_those_of_every_sign(bits):
+    batch = ["Idiot idiots! you IDIOT", "", "a ab abc abcd abcde abcdef abcdefg", "you are a moron ??", "the moron left us all to you", "\u00c9t\u00e9 E\u0301te\u0301 x_9y"]
+    want = set()
+    for i, text in enumerate(batch):
+        for word in toxicity.word_list(text):
+            signs = ["=" + word, *("<" + word[:n] for n in toxicity.PREFIXES if len(word) >= n)]
+            want |= {(i, zlib.crc32(sign.encode()) % (1 << bits)) for sign in signs}
+    group = np.array([zlib.crc32(b"<abcd") % (1 << toxicity.SIGN_BITS)])
+    reader = toxicity.Reader(group)
+    for _ in range(2):
+        rows, words, votes = reader.read(batch)
+        at, place = reader.places(rows, words, bits)
+        assert len(at) == len(want) and set(zip(at.tolist(), place.tolist())) == want
+        assert votes[:, :4].tolist() == [[1, 1, 1, 0], [0, 0, 0, 0], [0, 0, 0, 0], [1, 0, 1, 1], [1, 0, 0, 0], [0, 0, 0, 0]]
+        assert votes[:, 4:].sum(axis=1).tolist() == [0, 0, 1, 0, 0, 0] and votes[2, 4 + group[0] % toxicity.GROUPS] == 1
+        assert (toxicity.votes_of(toxicity.pattern_of(votes)) == votes).all()
+        reader.forget()
+
+
+def test_repeated_rows_of_an_id_teach_once(spark, tables):
+    rows, docs, labels = tables
+    one = docs.where("doc_id = 7")
+    many = docs.union(one.crossJoin(spark.range(60)).drop("id"))
+    for fit, score in ((toxicity.fit_toxicity, toxicity.score_toxicity), (quality.fit_quality, quality.score_quality)):
+        plain = {r["doc_id"]: r["score"] for r in score(docs, fit(docs, labels)).collect()}
+        out = score(many, fit(many, labels)).collect()
+        assert len(out) == len(rows) + 60
+        assert len({r["score"] for r in out if r["doc_id"] == 7}) == 1
+        assert sum(abs(plain[r["doc_id"]] - r["score"]) for r in out) / len(out) < 0.02
+
+
+def test_sparse_rows_are_dense_rows():
+    rng = np.random.default_rng(5)
+    dense = np.where(rng.random((60, 20)) < 0.2, rng.random((60, 20)), 0.0)
+    y = (dense[:, 3] + dense[:, 5] > 0.3).astype(float)
+    rows = [(np.flatnonzero(r), r[np.flatnonzero(r)]) for r in dense]
+    sparse, view, other = quality.Sparse.of(rows, 20), quality.View(20), quality.View(20)
+    view.fit(sparse, y)
+    other.fit(dense, y)
+    assert np.allclose(view.odds(sparse), other.odds(dense)) and np.allclose(view.odds(sparse[np.array([4, 2, 59])]), other.odds(dense)[[4, 2, 59]])
