@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from inkwell.checks import query
 from inkwell.functions import arrays
 from inkwell.functions import text as tx
+from inkwell.operators.relational import dedup_rows
 from inkwell.session import spread
 from inkwell.sources.tables import documents, targets
 
@@ -175,12 +176,26 @@ def obfuscate_text(spark, folder):
 )
 def token_ngrams(spark, folder):
     """All 3- to 5-grams, summed up per document by count and digest."""
-    tokens = F.regexp_extract_all("text", F.lit(r"\S+"), F.lit(0))
-    grams = spread(documents(spark, folder)).select("id", F.explode(arrays.token_ngrams(tokens, 3, 5)).alias("term"))
-    digest = F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("bigint")
-    return grams.groupBy("id").agg(
-        F.count("*").alias("n"), F.count_distinct("term").alias("terms"), F.sum(digest).alias("digest")
-    )
+    return gram_digests(documents(spark, folder).select("id", "text"), 3, 5)
+
+
+def gram_digests(docs, low, high):
+    """``id, n, terms, digest``: the number of n-grams, of distinct ones and the sum of their digests per id with any.
+
+    A text is summed up where it lies. Only different texts that share an id send n-grams, to count those they have in common once.
+    """
+    grams = arrays.token_ngrams(F.regexp_extract_all("text", F.lit(r"\S+"), F.lit(0)), low, high)
+    number = lambda g: F.conv(F.substring(F.md5(g), 1, 8), 16, 10).cast("bigint")
+    total = lambda gs: F.aggregate(gs, F.lit(0).cast("bigint"), lambda acc, g: acc + number(g))
+    facts = lambda gs: F.struct(F.size(gs).alias("n"), F.size(F.array_distinct(gs)).alias("terms"), total(gs).alias("digest"))
+    rows = spread(docs).select("id", F.inline(F.transform(F.array(grams), facts))).where("n > 0")
+    summed = rows.groupBy("id").agg(F.sum("n").alias("n"), F.max("terms").cast("bigint").alias("terms"), F.sum("digest").alias("digest"))
+    repeated = docs.groupBy(F.col("id").alias("_id")).agg(F.count("*").alias("_rows")).where("_rows > 1").select("_id")
+    shared = dedup_rows(docs.join(repeated, F.col("id").eqNullSafe(F.col("_id")), "left_semi"))
+    united = shared.select(F.col("id").alias("_id"), F.explode(F.array_distinct(grams)).alias("term"))
+    united = united.groupBy("_id").agg(F.count_distinct("term").alias("_terms"))
+    joined = summed.join(united, F.col("id").eqNullSafe(F.col("_id")), "left")
+    return joined.select("id", "n", F.coalesce("_terms", "terms").alias("terms"), "digest")
 
 
 LENGTHS = "lengths AS (SELECT doc_id AS id, list_transform(string_split(text, ' '), lambda w: length(w)::INTEGER) AS ids FROM documents)"

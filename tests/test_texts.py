@@ -203,3 +203,24 @@ def test_merges_are_those_of_one_pass_per_merge():
                 break
             want = merge_once(want, best)
         assert merge_by_rank(symbols, ranks) == want
+
+
+def test_ngrams_are_summed_up_where_their_text_lies(spark, tmp_path):
+    import hashlib
+    import re
+
+    from inkwell.checks.texts import token_ngrams
+
+    rows = [(1, "a b c d e f"), (2, "x y\tz x y z x"), (2, "x y z q"), (2, "x y z q"), (3, "one two"), (4, None), (None, "a b c"), (None, "b c d a b c")]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in rows]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "documents.parquet"))
+    grams = {}
+    for i, text, *_ in rows:
+        words = (text or "").split()
+        grams.setdefault(i, []).extend(" ".join(words[p : p + n]) for n in (3, 4, 5) for p in range(len(words) - n + 1))
+    wanted = {i: (len(g), len(set(g)), sum(int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in g)) for i, g in grams.items() if g}
+    found = token_ngrams(spark, str(tmp_path))
+    assert {r["id"]: (r["n"], r["terms"], r["digest"]) for r in found.collect()} == wanted
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(id#\w+, term", plan)
