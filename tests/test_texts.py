@@ -224,3 +224,36 @@ def test_ngrams_are_summed_up_where_their_text_lies(spark, tmp_path):
     assert {r["id"]: (r["n"], r["terms"], r["digest"]) for r in found.collect()} == wanted
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"hashpartitioning\(id#\w+, term", plan)
+
+
+def test_words_are_those_of_the_plain_classes(spark):
+    odd = "".join(map(chr, [*range(0x300), *range(0x1670, 0x1690), *range(0x1FF0, 0x2070), 0x3000, 0x3001, 0x1F600, *range(0x660, 0x670)]))
+    rows = [(odd,), ("".join(c + "xY9" for c in odd),), ("".join(c + "é" for c in odd),), (" a  b c ",), ("",), (None,)]
+    df = spark.createDataFrame(rows, "text string")
+    plain = F.regexp_extract_all("text", F.lit(f"[^{tx.SPACE_CLASS}]+"), F.lit(0))
+    lower = F.regexp_extract_all(F.lower("text"), F.lit(f"[{tx.WORD_CLASS}]{{2,}}"), F.lit(0))
+    text = F.col("text")
+    for row in df.select(tx.words(text), plain, tx.lower_words(text), lower, tx.word_count(text), F.when(text.isNotNull(), F.size(plain))).collect():
+        assert row[0] == row[1] and row[2] == row[3] and row[4] == row[5]
+
+
+def test_histogram_and_density_work_a_value_out_once(spark):
+    from inkwell.operators import aggregates as agg
+
+    values = [1, 1, 2, 5, 9, 9, 9, None, 3, 4]
+    df = spark.createDataFrame([(v,) for v in values], "v int")
+    for run in (lambda d: agg.histogram_fixed_bins(d, "n", 4), lambda d: agg.kernel_density(d, "n", 5)):
+        calls = spark.sparkContext.accumulator(0)
+
+        def seen(v, calls=calls):
+            calls.add(1)
+            return v
+
+        out = run(df.select(F.udf(seen, "int")("v").alias("n"))).collect()
+        assert calls.value == len(values)
+    x = np.array([v for v in values if v is not None], dtype=float)
+    width = x.std(ddof=1) * len(x) ** -0.2
+    for row in out:
+        assert row["density"] == pytest.approx(np.exp(-(((row["x"] - x) / width) ** 2) / 2).sum() / (len(x) * width * np.sqrt(2 * np.pi)))
+    bins = agg.histogram_fixed_bins(df, "v", 4).orderBy("bin").collect()
+    assert [r["n"] for r in bins] == np.histogram(x, 4)[0].tolist()
