@@ -21,10 +21,11 @@ from dataclasses import dataclass
 from hashlib import blake2b
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import lookup, small_batches, written
+from inkwell.llm.common import join_unique, lookup, small_batches, written
 
 #: Distinct pages of a host that a line's class needs; fewer cannot tell a template from a quotation.
 SUPPORT = 3
@@ -374,6 +375,15 @@ def templates(tokens: DataFrame) -> DataFrame:
     return out.select("site", F.col("main.token").alias("main"), F.when(few, F.col("template")).otherwise(none).alias("template"), F.coalesce("repeated", none).alias("repeated"))
 
 
+def distinct_pages(parsed: DataFrame) -> DataFrame:
+    """The first row by ``place`` of each page of a site; only the digests of pages and the places of copies move."""
+    keys = parsed.select("site", "mark", "place")
+    first = keys.groupBy("site", "mark").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    first = written(first.where("n > 1"), "copied-pages")
+    later = written(join_unique(keys, first, ["site", "mark"], "n").where("place <> first").select("place"), "page-copies")
+    return parsed.join(lookup(later, 16), "place", "left_anti")
+
+
 def host_of(url: str):
     return F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
@@ -382,35 +392,45 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     """``page_id, url, text, n_chars`` of every page.
 
     Null html counts as empty and gives an empty text. A page of no host, and the only page of a
-    host, is its own template. Tokens are counted over all distinct pages of a host and its template is
-    applied page by page, so no host needs a large task. Repeated rows give equal rows; an empty table
-    gives none; other columns are left out.
+    host, is its own template. A page is parsed and its template applied where it lies; only sums of tokens
+    move, counted over all distinct pages of a host, so no host needs a large task. Repeated rows give
+    equal rows; an empty table gives none; other columns are left out.
     """
     small_batches(pages.sparkSession)
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     rows = rows.withColumn("mark", F.md5("html")).withColumn("host", host_of("url"))
     rows = rows.withColumn("site", F.when(F.col("host") == "", F.concat(F.lit("//"), "mark")).otherwise(F.col("host")))
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"site": batch["site"], "mark": batch["mark"], "page": [packed(t) for t in batch["html"]]})
-
-    distinct = rows.groupBy("site", "mark").agg(F.first("html").alias("html"))
-    parsed = written(distinct.mapInPandas(read, "site string, mark string, page binary"), "parsed-pages")
-    known = written(templates(host_tokens(parsed)), "site-templates")
-
-    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts, sets = [], {}
-            for site, data, main, *lines in zip(batch["site"], batch["page"], batch["main"], batch["template"], batch["repeated"]):
-                page, keys, _ = unpacked(data)
+    rows = rows.select("page_id", "url", "site", "mark", "html", F.monotonically_increasing_id().alias("place"))
+    kept = "page_id {0}, url {1}, site string, mark string, place long".format(*(rows.schema[c].dataType.simpleString() for c in ("page_id", "url")))
+
+    def read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            done: dict[str, bytes] = {}
+            for mark, text in zip(batch["mark"].to_pylist(), batch["html"].to_pylist()):
+                if mark not in done:
+                    done[mark] = packed(text)
+            found = pa.array([done[mark] for mark in batch["mark"].to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in batch.schema.names if c != "html"), found],
+                                             names=[*(c for c in batch.schema.names if c != "html"), "page"])
+
+    parsed = written(rows.mapInArrow(read, f"{kept}, page binary"), "parsed-pages")
+    known = written(templates(host_tokens(distinct_pages(parsed))), "site-templates")
+
+    def apply(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            texts, sets, done = [], {}, {}
+            columns = (batch[c].to_pylist() for c in ("site", "mark", "page", "main", "template", "repeated"))
+            for site, mark, data, main, *lines in zip(*columns):
                 if site not in sets:
-                    sets[site] = [int(main) if main is not None else None, *(set(map(int, x)) for x in lines)]
-                texts.append(article_text(page, keys, *sets[site]))
-            yield pd.DataFrame({"site": batch["site"], "mark": batch["mark"], "text": texts})
-
-    # as text, so that a missing element does not turn the digests of a batch to floats
-    found = parsed.join(lookup(known.withColumn("main", F.col("main").cast("string")), 2048), "site", "left")
-    found = written(found.mapInPandas(apply, "site string, mark string, text string"), "page-texts")
-    out = rows.select("page_id", "url", "site", "mark").join(found, ["site", "mark"])
+                    sets[site] = [main, *(set(x or ()) for x in lines)]
+                if (site, mark) not in done:
+                    page, keys, _ = unpacked(data)
+                    done[site, mark] = article_text(page, keys, *sets[site])
+                texts.append(done[site, mark])
+            yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+
+    # a template holds the digests of a site's lines, so pages go on without moving
+    found = parsed.drop("place").join(lookup(known, 2048), "site", "left")
+    out = found.mapInArrow(apply, "{}, text string".format(kept.split(", site")[0]))
     return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

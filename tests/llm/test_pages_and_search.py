@@ -104,3 +104,23 @@ def test_search_against_brute_force(spark, frame):
         out = bm25_search.search(docs, docs.where("doc_id % 20 = 0"), 7, shard_bytes=shard_bytes).collect()
         assert {(r["query_id"], r["rank"], r["doc_id"], round(r["score"], 6)) for r in out} == brute(rows, 7)
     assert bm25_search.search(docs.limit(0), docs.limit(0)).count() == 0
+
+
+def test_pages_are_parsed_where_they_lie(spark, monkeypatch):
+    """Only digests and sums of tokens move, never the pages; copies of a page count once."""
+    plans, keep = {}, html_extraction.written
+
+    def spy(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return keep(df, name)
+
+    monkeypatch.setattr(html_extraction, "written", spy)
+    rows = [(i, f"https://a.example/{i}", page(i, [f"words of {i} and {i * 7} more", f"again {i * 3}"])) for i in range(12)]
+    copies = [(100 + i, "https://a.example/copy", rows[0][2]) for i in range(30)]
+    schema = "page_id long, url string, html string"
+    alone = {r["page_id"]: r["text"] for r in html_extraction.extract_pages(spark.createDataFrame(rows, schema)).collect()}
+    out = html_extraction.extract_pages(spark.createDataFrame(rows + copies, schema).repartition(5))
+    assert "hashpartitioning" not in plans["parsed-pages"]
+    found = {r["page_id"]: r["text"] for r in out.collect()}
+    assert {i: found[i] for i in alone} == alone
+    assert all(found[100 + i] == alone[0] for i in range(30))
