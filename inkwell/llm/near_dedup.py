@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import WORDS, free_names, mix, slices, small_batches, stream, word_hashes, written
+from inkwell.llm.common import BROADCAST_MB, WORDS, free_names, lookup, mix, slices, small_batches, stream, word_hashes, written
 
 SHINGLE = 5
 DEPTH = 4
@@ -30,6 +30,8 @@ KEY_LEVELS = 12
 NEAR = 0.55
 LAST = (1 << 63) - 1
 BLOCK = 256
+#: About what a link of two nodes takes in a broadcast table.
+LINK_BYTES = 128
 ODD = stream(21, HASHES) | np.uint64(1)
 FLIP = stream(22, HASHES)
 
@@ -151,21 +153,43 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node, component``: the smallest node each node of ``edges`` reaches, by alternating star contraction."""
-    links, before = edges.select("a", "b"), None
+    """``node, component``: the smallest node each other node of the written ``edges`` reaches, by alternating star contraction.
+
+    It ends when all links are stars. While the links are few, the least neighbours are broadcast, so that a
+    round shuffles sums and never the links themselves.
+    """
+    links, n = edges.select("a", "b"), edges.count()
     while True:
+        near = F.broadcast if n * LINK_BYTES <= BROADCAST_MB << 20 else lambda df: df
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(near(least), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = written(large.where("a <> b"), "large-star")
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
+        small = down.join(near(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
         links = written(small.where("a <> b").distinct(), "small-star")
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            return written(links.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node"), "components")
-        before = now
+        ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up")).union(links.select("b", F.lit(0)))
+        ends = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
+        n, bent = ends.agg(F.coalesce(F.sum("ups"), F.lit(0)), F.count_if(F.expr("ups > 1 or (ups = 1 and least = 0)"))).first()
+        if not bent:
+            return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def joined_components(labels: DataFrame | None, found: DataFrame) -> DataFrame:
+    """The components of ``labels`` joined by the links ``found``: only links between different components are contracted."""
+    if labels is None:
+        return components(found)
+    known = lookup(labels, LINK_BYTES)
+    for end in ("a", "b"):
+        found = found.join(known.select(F.col("node").alias(end), F.col("component").alias(f"{end}_top")), end, "left")
+    found = found.select(F.coalesce("a_top", "a").alias("a"), F.coalesce("b_top", "b").alias("b"))
+    found = written(found.where("a <> b").distinct(), "component-links")
+    if found.isEmpty():
+        return labels
+    tops = components(found)
+    moved = labels.join(lookup(tops.select(F.col("node").alias("component"), F.col("component").alias("top")), LINK_BYTES), "component", "left")
+    return written(moved.select("node", F.coalesce("top", "component").alias("component")).union(tops.select("node", "component")), "components")
 
 
 def alike(left: Column, right: Column) -> Column:
@@ -301,13 +325,12 @@ def grouped_rows(docs: DataFrame, id_col: str, text_col: str, percent: int) -> D
     # whoever shares a region with another node has a neighbour there, so these are all nodes that can be linked
     linkable = written(nodes.join(ends, "node", "left_semi"), "linkable")
     sets = written(full_sets(keyed, linkable.select("node", "doc_key", "text_hash")), "sets")
-    links, labels = None, spark.createDataFrame([], "node binary, component binary")
+    joined, labels = None, spark.createDataFrame([], "node binary, component binary")
     for best in (0, 1, None):
         pairs = best_pairs(neighbours, linkable) if best == 0 else crossing_pairs(linkable, labels, sets, percent, best)
         found = written(confirm(written(pairs, "pairs"), sets, percent), "links")
         if not found.isEmpty():
-            links = found if links is None else links.union(found)
-            labels = components(links)
+            labels = joined = joined_components(joined, found)
     named = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("least_id").alias("component_id"), F.min(F.struct("doc_key", "text_hash")).alias("top"))
     owner = written(named.select("node", "component").join(smallest, "component").select("node", "component_id", "top"), "owners")

@@ -131,3 +131,39 @@ def test_columns_of_the_caller_stay(frame):
     out = near_dedup.drop_near_copies(clash)
     assert out.columns == clash.columns
     assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, [rows[0], *rows[2:]]))
+
+
+def test_components_end_with_stars_and_later_links_join_only_components(spark, monkeypatch):
+    rng = random.Random(5)
+    name = lambda i: bytes([i >> 8, i & 255])
+    steps, keep = [], near_dedup.written
+    monkeypatch.setattr(near_dedup, "written", lambda df, step: steps.append(step) or keep(df, step))
+
+    def brute(pairs):
+        top = list(range(600))
+        find = lambda i: i if top[i] == i else find(top[i])
+        for a, b in pairs:
+            a, b = sorted((find(a), find(b)))
+            top[b] = a
+        return {name(i): name(find(i)) for i in range(600) if find(i) != i}
+
+    def links(pairs):
+        return spark.createDataFrame([(name(min(p)), name(max(p))) for p in pairs], "a binary, b binary").coalesce(1)
+
+    def found(labels):
+        rows = labels.collect()
+        assert len(rows) == len({bytes(r["node"]) for r in rows})
+        return {bytes(r["node"]): bytes(r["component"]) for r in rows}
+
+    star = [(0, i) for i in range(1, 40)]
+    assert found(near_dedup.components(links(star))) == brute(star)
+    assert steps == ["large-star", "small-star"]
+    first = [(i, i + 1) for i in range(100, 180)] + [(rng.randrange(600), rng.randrange(600)) for _ in range(150)]
+    first = [p for p in first if p[0] != p[1]]
+    labels = near_dedup.joined_components(None, links(first))
+    assert found(labels) == brute(first)
+    assert near_dedup.joined_components(labels, links(first[::7])) is labels
+    more = [(3, 150), (599, 0), (170, 400), (100, 180)]
+    assert found(near_dedup.joined_components(labels, links(more))) == brute(first + more)
+    monkeypatch.setattr(near_dedup, "BROADCAST_MB", 0)
+    assert found(near_dedup.joined_components(None, links(first + more))) == brute(first + more)
