@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.functions.text import regex_tokens, word_count
+from inkwell.functions.text import plain_word_count, token_finder, word_finder
+from inkwell.operators.tallies import tally
 from inkwell.session import SMALL_MB, broadcast_if_small, cut, is_small
 
 MIN_TOKEN = 3
@@ -36,8 +41,8 @@ def edit_distance_join(tokens: DataFrame, dictionary: DataFrame, keys: DataFrame
     right = dictionary.select("word", "freq", F.explode(deletion_keys(F.col("word"))).alias("key")) if keys is None else keys
     near = left.join(right, "key").select("token", "word", "freq").distinct()
     near = near.withColumn("dist", F.levenshtein("token", "word", 1)).where("dist >= 0")
-    exact = dictionary.select(F.col("word").alias("token"))
-    return near.where("dist = 0").unionByName(near.where("dist = 1").join(exact, "token", "left_anti"))
+    exact = dictionary.select(F.col("word").alias("_exact"))
+    return near.join(exact, (F.col("token") == F.col("_exact")) & (F.col("dist") == 1), "left_anti")
 
 
 def substitution(token: Column, word: Column) -> Column:
@@ -51,18 +56,22 @@ def substitution(token: Column, word: Column) -> Column:
 def unknown_tokens(texts: DataFrame, dictionary: DataFrame, small_mb: int = SMALL_MB) -> DataFrame:
     """``id, token, times``: tokens of three characters or more that are no dictionary word.
 
-    A dictionary proved small is broadcast. For a larger one the most frequent words, which most
-    occurrences hold, are broadcast, what is left is counted per text, and only these counts meet the
-    rest of the words.
+    The most frequent words, which most occurrences hold, are known where the texts are counted, so that only
+    counts of other tokens leave them. A dictionary proved small is broadcast to these; a larger one meets
+    them by shuffle after they are added up.
     """
-    tokens = texts.select("id", F.explode(regex_tokens(F.col("text"))).alias("token"))
-    tokens = tokens.where(F.length("token") >= MIN_TOKEN)
-    counted = lambda df: df.groupBy("id", "token").agg(F.count("*").alias("times"))
+    often = frozenset(r[0] for r in dictionary.orderBy(F.desc("freq"), "word").limit(FREQUENT_WORDS).select("word").collect())
+    find = word_finder()
+
+    def seldom(text: str) -> dict[str, int]:
+        return {t: n for t, n in Counter(find(text)).items() if len(t) >= MIN_TOKEN and t not in often}
+
+    tokens = tally(texts, seldom).withColumnRenamed("term", "token")
+    counted = lambda df: df.groupBy("id", "token").agg(F.sum("n").alias("times"))
     words = dictionary.select(F.col("word").alias("token"))
     if is_small(words, small_mb):
         return counted(tokens.join(F.broadcast(words), "token", "left_anti"))
-    often = F.broadcast(dictionary.orderBy(F.desc("freq"), "word").limit(FREQUENT_WORDS).select(F.col("word").alias("token")))
-    return counted(tokens.join(often, "token", "left_anti")).join(words, "token", "left_anti").select("id", "token", "times")
+    return counted(tokens).join(words, "token", "left_anti").select("id", "token", "times")
 
 
 def dictionary_keys(dictionary: DataFrame) -> DataFrame:
@@ -110,30 +119,46 @@ def _first_word() -> Column:
 def corrections(texts: DataFrame, dictionary: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """``id, token, word`` for every token of a text that is to be replaced.
 
-    The unknown tokens and their neighbours are written once, as all later steps use them.
+    The unknown tokens, their neighbours and the tokens that are looked up again are written once, as several later
+    steps use them.
     """
     unknown = cut(unknown_tokens(texts, dictionary))
     near = cut(edit_distance_join(unknown, dictionary, keys))
     first = near.groupBy("token").agg(_first_word())
     wrong = unknown.join(first, "token")
-    lengths = texts.select("id", word_count(F.col("text")).alias("n_words"))
+    lengths = texts.select("id", plain_word_count(F.col("text")).alias("n_words"))
     main = substitution_argmax(unknown, near).join(lengths, "id").where(F.col("n") > WRONG_SHARE * F.col("n_words"))
-    again = wrong.select("id", "token").join(main.select("id", "from", "to"), "id")
+    again = cut(wrong.select("id", "token").join(main.select("id", "from", "to"), "id"))
     found = weighted_edit_join(again, dictionary).groupBy("token", "from", "to").agg(_first_word())
     better = again.join(found, ["token", "from", "to"]).select("id", "token", F.col("word").alias("better"))
     return wrong.join(better, ["id", "token"], "left").select("id", "token", F.coalesce("better", "word").alias("word"))
 
 
+def put_together(find: Callable[[str], list[str]]):
+    """A column function: the tokens of a text in their order, those in its second argument as the third has them."""
+
+    @F.pandas_udf("string")
+    def repaired(texts: pd.Series, wrong: pd.Series, right: pd.Series) -> pd.Series:
+        out = []
+        for text, before, after in zip(texts, wrong, right):
+            if text is None:
+                out.append(None)
+                continue
+            fixes = {} if before is None else dict(zip(before, after))
+            out.append("".join([fixes.get(t, t) for t in find(text)]))
+        return pd.Series(out, dtype=object)
+
+    return repaired
+
+
 def spell_repair(texts: DataFrame, dictionary: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """``texts`` with repaired text: known tokens stay, wrong ones are replaced.
 
-    Only wrong tokens are shuffled. They come back as one small map per text, and each
-    text is put together again inside its row.
+    Only wrong tokens are shuffled. They come back as one list of pairs per text, and each
+    text is put together again inside its row, every token by one look-up.
     """
     fixes = corrections(texts, dictionary, keys)
-    per_text = fixes.groupBy("id").agg(F.map_from_entries(F.collect_set(F.struct("token", "word"))).alias("_fixes"))
+    per_text = fixes.groupBy("id").agg(F.collect_set(F.struct("token", "word")).alias("_fixes"))
     joined = texts.join(per_text, "id", "left")
-    tokens = regex_tokens(F.col("text"))
-    fixed = F.transform(tokens, lambda t: F.coalesce(F.element_at(F.col("_fixes"), t), t))
-    text = F.array_join(F.when(F.col("_fixes").isNull(), tokens).otherwise(fixed), "")
+    text = put_together(token_finder())("text", "_fixes.token", "_fixes.word")
     return joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in texts.columns])

@@ -99,8 +99,10 @@ def read_word_list(spark: SparkSession, path: str) -> DataFrame:
     return words.groupBy("word").agg(F.count("*").alias("freq"))
 
 
-def words_by_frequency(tokens: DataFrame, min_count: int, token_col: str = "token") -> DataFrame:
-    """A dictionary taken from a corpus: ``(word, freq)`` of words seen ``min_count`` times."""
-    return (
-        tokens.groupBy(F.col(token_col).alias("word")).agg(F.count("*").alias("freq")).where(F.col("freq") >= min_count)
-    )
+def words_by_frequency(tokens: DataFrame, min_count: int, token_col: str = "token", times_col: str | None = None) -> DataFrame:
+    """A dictionary taken from a corpus: ``(word, freq)`` of words seen ``min_count`` times.
+
+    A row is one occurrence, or as many as ``times_col`` says.
+    """
+    times = F.count("*") if times_col is None else F.sum(times_col)
+    return tokens.groupBy(F.col(token_col).alias("word")).agg(times.alias("freq")).where(F.col("freq") >= min_count)
