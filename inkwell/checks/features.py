@@ -52,7 +52,7 @@ SIMS = TFIDF + """, sims AS (SELECT q.id AS query_id, d.id, round(sum(q.weight *
 def weights(spark, folder):
     docs = dedup_key_first(documents(spark, folder).select("id", "text"), "text", "id")
     goal = targets(spark, folder)
-    return docs, goal, *fx.tfidf_pair(docs, goal, words(F.col("text")), LOW, HIGH)
+    return docs, goal, *fx.tfidf_pair(docs, goal, words(F.col("text")), LOW, HIGH, split=str.split)
 
 
 @query(

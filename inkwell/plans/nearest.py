@@ -16,6 +16,6 @@ def nearest_documents(spark: SparkSession, folder: str, k: int = 3, low: int = 3
     """``query_id, id, sim, rank`` of the ``k`` nearest distinct documents per target."""
     docs = dedup_key_first(spread(tables.documents(spark, folder).select("id", "text")), "text", "id")
     targets = spread(tables.targets(spark, folder))
-    doc_weights, target_weights = tfidf_pair(docs, targets, words(F.col("text")), low, high)
+    doc_weights, target_weights = tfidf_pair(docs, targets, words(F.col("text")), low, high, split=str.split)
     nearest = topk_cosine_join(targets, target_weights, doc_weights, docs, k)
     return nearest.select("query_id", "id", F.round("sim", 6).alias("sim"), "rank")

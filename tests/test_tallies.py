@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from inkwell.functions import text as tx
+from inkwell.operators import features as fx
 from inkwell.operators import spelling
 from inkwell.operators.tallies import tally, totals
 
@@ -53,3 +54,17 @@ def test_near_words_are_compared_once(spark):
     near = spelling.edit_distance_join(tokens, dictionary)
     assert sorted(map(tuple, near.collect())) == [("hend", "hand", 4, 1), ("hend", "send", 9, 1), ("send", "send", 9, 0)]
     assert near._jdf.queryExecution().optimizedPlan().toString().count("levenshtein") <= 2
+
+
+def test_ngrams_of_a_small_vocabulary_are_counted_where_the_texts_lie(spark):
+    texts = table(spark).unionByName(spark.createDataFrame([(0, "x y z x y z x"), (0, "x y z"), (None, "x y z w"), (9999, "x  y\tz\nw")], "id bigint, text string"))
+    goal = spark.createDataFrame([(1, "x y z x"), (2, "y z w"), (3, "and_more. 3rd line"), (4, None)], "id bigint, text string")
+    words = tx.words(F.col("text"))
+
+    def rows(**more):
+        return [sorted((str(r.id), r.term, round(r.weight, 9)) for r in part.collect()) for part in fx.tfidf_pair(texts, goal, words, 2, 3, **more)]
+
+    assert rows(split=str.split) == rows() == rows(split=str.split, known_mb=-1)
+    vocab = fx.vocab_table(fx.grams(goal, words, 2, 3))
+    plan = fx.known_counts(texts, str.split, 2, 3, vocab)._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan and "regexp_extract_all" not in plan
