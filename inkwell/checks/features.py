@@ -8,9 +8,9 @@ from inkwell.checks import query
 from inkwell.functions.text import lower_words, words
 from inkwell.operators import aggregates as agg
 from inkwell.operators import features as fx
-from inkwell.operators.relational import dedup_key_first
+from inkwell.operators.relational import dedup_key_first, first_orders
 from inkwell.plans.nearest import nearest_documents as nearest
-from inkwell.session import cut, spread
+from inkwell.session import broadcast_if_small, cut, spread
 from inkwell.sources import tables
 
 LOW, HIGH = 3, 4
@@ -50,9 +50,10 @@ SIMS = TFIDF + """, sims AS (SELECT q.id AS query_id, d.id, round(sum(q.weight *
 
 
 def weights(spark, folder):
-    docs = dedup_key_first(documents(spark, folder).select("id", "text"), "text", "id")
+    texts = documents(spark, folder).select("id", "text")
+    docs = dedup_key_first(texts, "text", "id")
     goal = targets(spark, folder)
-    return docs, goal, *fx.tfidf_pair(docs, goal, words(F.col("text")), LOW, HIGH, split=str.split)
+    return first_orders(texts, "text", "id"), goal, *fx.tfidf_pair(docs, goal, words(F.col("text")), LOW, HIGH, split=str.split)
 
 
 @query(
@@ -128,8 +129,8 @@ def topk_sql(k: int, ctes: str) -> str:
 
 @query("topk_cosine_join", topk_sql(100, SIMS))
 def topk_cosine_join(spark, folder):
-    docs, goal, train_weights, goal_weights = weights(spark, folder)
-    best = fx.topk_cosine_join(goal, goal_weights, train_weights, docs, 100)
+    doc_ids, goal, train_weights, goal_weights = weights(spark, folder)
+    best = fx.topk_cosine_join(goal, goal_weights, train_weights, doc_ids, 100)
     return best.select("query_id", "id", F.round("sim", 6).alias("sim"), "rank")
 
 
@@ -146,5 +147,5 @@ def nearest_documents(spark, folder):
 )
 def similar_training_rows(spark, folder):
     """The training rows near any target, each once."""
-    near = topk_cosine_join(spark, folder).select("id").distinct()
-    return documents(spark, folder).select("id", "text").join(near, "id", "left_semi")
+    near = cut(topk_cosine_join(spark, folder).select("id").distinct())
+    return documents(spark, folder).select("id", "text").join(broadcast_if_small(near), "id", "left_semi")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from inkwell.functions import text as tx
 from inkwell.operators import features as fx
 from inkwell.operators import spelling
+from inkwell.operators.relational import dedup_key_first, first_orders
 from inkwell.operators.tallies import tally, totals
 
 ODD = [
@@ -68,3 +69,10 @@ def test_ngrams_of_a_small_vocabulary_are_counted_where_the_texts_lie(spark):
     vocab = fx.vocab_table(fx.grams(goal, words, 2, 3))
     plan = fx.known_counts(texts, str.split, 2, 3, vocab)._jdf.queryExecution().optimizedPlan().toString()
     assert "explode" not in plan and "regexp_extract_all" not in plan
+
+
+def test_the_ids_of_first_rows_need_no_text(spark):
+    df = spark.createDataFrame([(3, "a"), (1, "a"), (2, None), (5, None), (4, ""), (None, "b"), (7, "c"), (None, "c")], "id bigint, text string")
+    ids = first_orders(df, "text", "id")
+    assert sorted(str(r.id) for r in ids.collect()) == sorted(str(r.id) for r in dedup_key_first(df, "text", "id").collect())
+    assert "min_by" not in ids._jdf.queryExecution().optimizedPlan().toString()
